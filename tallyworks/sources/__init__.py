@@ -1,5 +1,5 @@
 from tallyworks.sources.readers import read_csv, read_jdbc, read_partition, xml_rows
-from tallyworks.sources.sinks import replace_partition, rows_to_xml, save_intermediate
+from tallyworks.sources.sinks import replace_partition, rows_to_xml, save_intermediate, scratch_dir
 from tallyworks.sources.tables import Tables
 
 __all__ = [
@@ -10,5 +10,6 @@ __all__ = [
     "replace_partition",
     "rows_to_xml",
     "save_intermediate",
+    "scratch_dir",
     "xml_rows",
 ]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators.ordering import ordered_concat
@@ -23,10 +24,7 @@ def save_intermediate(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and read it back, so that a lost executor
     does not cause all earlier steps to run again. It goes below ``spark.checkpoint.dir``."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,3 +48,13 @@ def rows_to_xml(
     return joined.withColumn(
         name, F.concat(F.lit(f"<{root_tag}>"), F.col(name), F.lit(f"</{root_tag}>"))
     )
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session. Where it is unset, as in a local run, a folder is
+    made for this session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = tempfile.mkdtemp(prefix="tallyworks-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base
