@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -408,14 +408,23 @@ def claim_base(claims: DataFrame, regions: DataFrame) -> DataFrame:
     return rooted.join(regions.select("department_code", "region"), "department_code", "left")
 
 
-def kpi_dataset(sources: Mapping[str, DataFrame], as_of, **options) -> DataFrame:
+def kpi_dataset(
+    sources: Mapping[str, DataFrame],
+    as_of,
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
+    **options,
+) -> DataFrame:
     """The tall KPI dataset of one day.
 
+    Cleaned claims, the claim lines of the day, claim steps and the timed log are each read by
+    several metrics. ``save``, for example ``sources.save_intermediate``, writes them once.
+
     ``sources`` holds claims, regions (department_code, region), clauses, bands, rates, log,
     requests, quotes, approved_prices, calls, employees, heads and calendar.
     """
+    save = save or (lambda frame, name: frame)
     at = F.lit(as_of).cast("date")
-    base = claim_base(sources["claims"], sources["regions"])
+    base = save(claim_base(sources["claims"], sources["regions"]), "claims")
     recent = sources["clauses"].filter(
         (F.to_date("system_date") >= F.add_months(at, -24))
         & ~F.col("business_type_code").startswith(SKIPPED_CLAUSES)
@@ -440,6 +449,7 @@ def kpi_dataset(sources: Mapping[str, DataFrame], as_of, **options) -> DataFrame
     detail = detail.join(prices, "claim_id", "left").join(
         rates.filter(F.col("report_month") == month).drop("report_month"), "manage_unit_code", "left"
     )
+    detail = save(detail, "claim-lines")
     settled = detail.filter(F.col("slice") == "settled")
     positive = F.col("amount") > 0
     rated = F.col("amount") * F.col("claim_rate")
@@ -478,8 +488,11 @@ def kpi_dataset(sources: Mapping[str, DataFrame], as_of, **options) -> DataFrame
         aged_backlog(detail.filter((F.col("slice") == "open") & positive), as_of, "claim_id", "system_date"),
     ]
 
-    steps = claim_milestones(
-        sources["log"], base.drop("employee_code"), sources["clauses"], sources["bands"]
+    steps = save(
+        claim_milestones(
+            sources["log"], base.drop("employee_code"), sources["clauses"], sources["bands"]
+        ),
+        "claim-steps",
     )
     cutoff = F.lit(f"{as_of} 17:00:00").cast("timestamp_ntz")
 
@@ -543,6 +556,7 @@ def kpi_dataset(sources: Mapping[str, DataFrame], as_of, **options) -> DataFrame
         sources["calendar"],
         **options,
     ).filter(F.to_date("created_date") == at)
+    timed = save(timed, "timed-log")
     to_check, to_validate = F.col("action") == "M_CHUYEN_C", F.col("action") == "C_CHUYEN_V"
     approved = F.col("action").isin("V_DUYET", "V_DUYET_DG_BL")
     spent = F.coalesce("working_seconds", F.lit(0))
@@ -578,7 +592,7 @@ def kpi_dataset(sources: Mapping[str, DataFrame], as_of, **options) -> DataFrame
         ).filter(F.col("region").isNotNull())
         parts.append(metric_union(values, [Metric(code, label, None, F.col(column))], "claim_id"))
 
-    tall = reduce(DataFrame.unionByName, parts)
+    tall = save(reduce(DataFrame.unionByName, parts), "metrics")
     rolled = head_rollup(tall, sources["employees"], sources["heads"], sources["regions"], HEAD_CODES)
     return publish(rolled, as_of)
 

@@ -8,6 +8,7 @@ from tallyworks import functions as fn
 from tallyworks.operators import kpi
 from tallyworks.operators.temporal import OPEN_DATE
 from tallyworks.plans.registry import query
+from tallyworks.sources import save_intermediate
 
 AS_OF = "1998-06-20"
 AT = f"DATE '{AS_OF}'"
@@ -551,4 +552,4 @@ def _kpi_sql() -> str:
 
 @query("day VARCHAR, report_month VARCHAR, " + TALL, _kpi_sql())
 def kpi_dataset(t):
-    return kpi.kpi_dataset(kpi_sources(t), AS_OF).withColumn("value", F.round("value", 2))
+    return kpi.kpi_dataset(kpi_sources(t), AS_OF, save_intermediate).withColumn("value", F.round("value", 2))
