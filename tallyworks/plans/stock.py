@@ -1 +1,374 @@
-"""Placeholder."""
+"""Allocation and stock documents on the star schema: parts are items, suppliers warehouses."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyworks.operators import documents, stock
+from tallyworks.operators.ordering import next_ids as continue_ids
+from tallyworks.plans.registry import query
+from tallyworks.sources import rows_to_xml
+from tallyworks.sources import xml_rows as read_xml_rows
+
+ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+
+
+@query(
+    "order_id BIGINT, Line BIGINT, Part BIGINT, Quantity DOUBLE",
+    """SELECT l_orderkey AS order_id, l_linenumber AS Line, l_partkey AS Part, l_quantity AS Quantity FROM l WHERE l_linenumber <> 7""",
+)
+def xml_rows(t):
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("Line"),
+        F.col("l_partkey").alias("Part"), F.col("l_quantity").alias("Quantity"),
+        F.when(F.col("l_linenumber") == 7, 0).otherwise(1).alias("IsTick"),
+    )
+    texts = rows_to_xml(
+        lines, ["order_id"], ["IsTick", "Line", "Part", "Quantity"], ["Line", "Part", "Quantity"],
+        "Ct0", "NewDataSet",
+    )
+    return read_xml_rows(
+        texts, "xml", "Ct0", "IsTick int, Line int, Part bigint, Quantity decimal(15,4)", ("order_id",)
+    )
+
+
+@query(
+    "c_nationkey BIGINT, xml VARCHAR",
+    """SELECT c_nationkey, '<root>' || string_agg('<row DocDate="' || o_orderdate || '" Stt="' || o_orderkey || '"/>', '' ORDER BY o_orderkey) || '</root>' AS xml
+    FROM o JOIN c ON c_custkey = o_custkey WHERE o_orderdate >= DATE '2001-06-01' GROUP BY 1""",
+)
+def documents_to_xml(t):
+    heads = (
+        t.orders.filter(F.col("o_orderdate") >= F.lit("2001-06-01").cast("date"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select("c_nationkey", F.col("o_orderdate").alias("DocDate"), F.col("o_orderkey").alias("Stt"))
+    )
+    return rows_to_xml(heads, ["c_nationkey"], ["DocDate", "Stt"], ["Stt"])
+
+
+def roll(part="l_partkey"):
+    return F.concat(F.lit("R"), F.col(part)).alias("roll_code")
+
+
+def roll_tables(t):
+    """Scans, produced and consumed rows, the roll master and current balances."""
+    part = F.col("p_partkey")
+    scans = t.part.select(
+        roll("p_partkey"),
+        F.when(part % 3 == 0, stock.RECEIPT).otherwise(stock.ISSUE).alias("doc_group"),
+        F.when(part % 5 == 0, "SI").otherwise("XK").alias("doc_code"),
+    )
+    row = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id")
+    place = [F.col("l_suppkey").alias("warehouse_id"), F.col("l_partkey").alias("item_id")]
+    produced = t.lineitem.filter(F.col("l_returnflag") == "A").select(
+        row, roll(), *place, F.col("l_quantity").alias("quantity")
+    )
+    consumed = t.lineitem.filter(F.col("l_linestatus") == "F").select(row)
+    master = t.part.select(roll("p_partkey"), part.alias("item_id"))
+    current = t.lineitem.filter(F.col("l_returnflag") == "N").select(
+        roll(), *place, (F.col("l_quantity") - 40).alias("quantity")
+    )
+    return scans, produced, consumed, master, current
+
+
+STOCK_SQL = """cur AS (SELECT 'R' || l_partkey AS roll, l_suppkey AS w, l_partkey AS i, l_quantity - 40 AS q FROM l WHERE l_returnflag = 'N'),
+  scan AS (SELECT 'R' || p_partkey AS roll, p_partkey AS i, p_partkey % 3 = 0 AS receipt,
+    p_partkey % 5 = 0 OR ('R' || p_partkey) NOT IN (SELECT roll FROM cur WHERE q > 0) AS factory FROM p),
+  stock AS (SELECT roll AS roll_code, l_suppkey AS warehouse_id, l_partkey AS item_id, l_quantity AS quantity FROM l JOIN scan ON i = l_partkey
+      WHERE NOT receipt AND factory AND l_returnflag = 'A' AND l_orderkey || '-' || l_linenumber NOT IN (SELECT l_orderkey || '-' || l_linenumber FROM l WHERE l_linestatus = 'F')
+    UNION ALL SELECT roll, NULL, i, 0 FROM scan WHERE receipt
+    UNION ALL SELECT cur.roll, w, cur.i, q FROM cur JOIN scan ON scan.i = cur.i WHERE NOT receipt AND NOT factory AND q >= 0
+      QUALIFY row_number() OVER (PARTITION BY cur.roll ORDER BY q DESC, w) = 1)"""
+STOCK = "roll_code VARCHAR, warehouse_id BIGINT, item_id BIGINT, quantity DOUBLE"
+
+
+@query(STOCK, f"WITH {STOCK_SQL} SELECT roll_code, warehouse_id, item_id, quantity FROM stock")
+def available_stock(t):
+    return stock.available_stock(*roll_tables(t))
+
+
+@query(
+    "roll_code VARCHAR, reason VARCHAR",
+    f"""WITH {STOCK_SQL} SELECT roll AS roll_code, CASE WHEN i % 11 = 0 THEN 'already scanned' ELSE 'no stock left' END AS reason FROM scan
+    WHERE i % 11 = 0 OR (NOT receipt AND roll NOT IN (SELECT roll_code FROM stock WHERE quantity > 0))""",
+)
+def reject_scans(t):
+    tables = roll_tables(t)
+    scanned = t.part.filter(F.col("p_partkey") % 11 == 0).select(roll("p_partkey"))
+    _, refused = stock.reject_scans(tables[0], scanned, stock.available_stock(*tables))
+    return refused
+
+
+def warehouses(t):
+    key = F.col("s_suppkey")
+    return t.supplier.select(
+        key.alias("id"), F.when(key % 5 == 0, 1).otherwise(0).alias("is_factory"),
+        F.concat(F.lit("W"), key).alias("code"), F.col("s_name").alias("name"),
+        F.concat(F.lit("15"), key % 10).alias("account"),
+    )
+
+
+def items(t):
+    key = F.col("p_partkey")
+    return t.part.select(
+        key.alias("id"), F.concat(F.lit("P"), key).alias("code"), F.col("p_name").alias("name"),
+        F.when(key % 2 == 0, "kg").otherwise("roll").alias("unit"),
+        F.when(F.col("p_size") > 5, F.col("p_size").cast("decimal(18,2)")).alias("packing"),
+    )
+
+
+def request_lines(t):
+    """Quantity of a part in an order as a request line; some lines have no warehouse yet and some
+    are partly served."""
+    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").alias("asked"), F.min("l_suppkey").alias("place")
+    )
+    order = F.col("l_orderkey")
+    return lines.select(
+        (order * 100000 + F.col("l_partkey")).alias("id"),
+        F.col("l_partkey").alias("item_id"),
+        F.when(order % 2 == 0, F.col("place")).alias("warehouse_id"),
+        F.when(order % 10 > 0, F.col("asked")).alias("request_quantity"),
+        F.when(order % 4 == 0, F.lit(5)).cast("decimal(18,2)").alias("quantity9"),
+        F.lit(0).cast("decimal(18,2)").alias("quantity"),
+        F.when(order % 3 == 0, 1).when(order % 3 == 1, 0).alias("is_promotion"),
+        (order % 1000).alias("builtin_order"),
+        F.when(order % 6 == 0, 2).otherwise(1).alias("convert_rate9"),
+    )
+
+
+LINES_SQL = """ln AS (SELECT l_orderkey * 100000 + l_partkey AS id, l_partkey AS item_id, CASE WHEN l_orderkey % 2 = 0 THEN min(l_suppkey) END AS warehouse_id,
+    CASE WHEN l_orderkey % 10 > 0 THEN sum(l_quantity) END AS request_quantity, CASE WHEN l_orderkey % 4 = 0 THEN 5 END AS quantity9,
+    CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS is_promotion, l_orderkey % 1000 AS builtin_order, l_orderkey FROM l GROUP BY l_orderkey, l_partkey)"""
+OPEN_SQL = f"""{LINES_SQL}, op AS (SELECT ln.*, request_quantity - coalesce(quantity9, 0) AS remaining,
+    CASE WHEN request_quantity IS NULL OR coalesce(quantity9, 0) < request_quantity THEN 0 ELSE 1 END AS enough,
+    CASE WHEN warehouse_id % 5 > 0 THEN row_number() OVER (PARTITION BY item_id, warehouse_id % 5 > 0 ORDER BY is_promotion, builtin_order, id) ELSE 0 END AS scan_order FROM ln)"""
+
+
+@query(
+    "id BIGINT, warehouse_id BIGINT",
+    f"""WITH {LINES_SQL}, best AS (SELECT l_partkey AS i, l_suppkey AS w FROM l WHERE l_returnflag = 'N' AND l_suppkey % 5 > 0
+      QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity DESC, l_suppkey) = 1)
+    SELECT id, coalesce(warehouse_id, w) AS warehouse_id FROM ln LEFT JOIN best ON i = item_id""",
+)
+def fill_location(t):
+    return stock.fill_location(request_lines(t), roll_tables(t)[4], warehouses(t))
+
+
+@query(
+    "id BIGINT, remaining DOUBLE, enough BIGINT, scan_order BIGINT",
+    f"WITH {OPEN_SQL} SELECT id, remaining, enough, scan_order FROM op",
+)
+def open_lines(t):
+    return stock.open_lines(request_lines(t), warehouses(t))
+
+
+def supplies(t):
+    """Every supplier of a part has a supply of it; the key gives the quantity."""
+    return t.lineitem.select("l_partkey", "l_suppkey").distinct().withColumn(
+        "supplied", ((F.col("l_suppkey") % 7 + 1) * 10).cast("decimal(18,2)")
+    )
+
+
+FIFO_SQL = """dm AS (SELECT l_partkey AS part, l_orderkey AS d, sum(l_quantity) AS q FROM l GROUP BY 1, 2),
+  dc AS (SELECT *, sum(q) OVER (PARTITION BY part ORDER BY d ROWS UNBOUNDED PRECEDING) AS hi FROM dm),
+  sc AS (SELECT *, sum(q) OVER (PARTITION BY part ORDER BY sup ROWS UNBOUNDED PRECEDING) AS hi
+    FROM (SELECT DISTINCT l_partkey AS part, l_suppkey AS sup, (l_suppkey % 7 + 1) * 10 AS q FROM l)),
+  fifo AS (SELECT dc.part, sup, d, least(dc.hi, sc.hi) - greatest(dc.hi - dc.q, sc.hi - sc.q) AS allocated FROM dc JOIN sc ON sc.part = dc.part
+    AND dc.hi - dc.q < sc.hi AND sc.hi - sc.q < dc.hi)"""
+
+
+def fifo(t):
+    demand = t.lineitem.groupBy("l_partkey", "l_orderkey").agg(F.sum("l_quantity").alias("asked"))
+    return stock.allocate_fifo(
+        supplies(t), demand, ["l_partkey"], "l_suppkey", "l_orderkey", ["l_suppkey"], ["l_orderkey"],
+        "supplied", "asked",
+    )
+
+
+@query(
+    "l_partkey BIGINT, l_suppkey BIGINT, l_orderkey BIGINT, allocated DOUBLE",
+    f"WITH {FIFO_SQL} SELECT part AS l_partkey, sup AS l_suppkey, d AS l_orderkey, allocated FROM fifo WHERE allocated > 0",
+)
+def allocate_fifo(t):
+    return fifo(t)
+
+
+@query(
+    "id BIGINT, quantity9 DOUBLE",
+    f"""WITH {FIFO_SQL}, {LINES_SQL} SELECT id, coalesce(sum(allocated), any_value(quantity9)) AS quantity9
+    FROM ln LEFT JOIN fifo ON d * 100000 + part = id GROUP BY id""",
+)
+def parent_totals(t):
+    pieces = fifo(t).select(
+        (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("parent_id"),
+        F.col("allocated").alias("quantity9"),
+    )
+    lines = request_lines(t).withColumn("quantity9", F.col("quantity9").cast("decimal(28,4)"))
+    return stock.parent_totals(lines, pieces, columns=["quantity9"])
+
+
+@query(
+    "id BIGINT, item_id BIGINT, warehouse_id BIGINT, quantity DOUBLE",
+    f"""WITH {LINES_SQL}, n AS (SELECT l_partkey AS i, l_suppkey AS w, sum(l_quantity) AS q FROM l WHERE l_returnflag = 'R' GROUP BY 1, 2)
+    SELECT -(row_number() OVER (ORDER BY i, w) + (SELECT max(id) FROM ln)) AS id, i AS item_id, w AS warehouse_id, q AS quantity
+    FROM n WHERE NOT EXISTS (SELECT 1 FROM ln WHERE item_id = i AND warehouse_id = w)""",
+)
+def unmatched_supply(t):
+    supply = t.lineitem.filter(F.col("l_returnflag") == "R").groupBy(
+        F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("warehouse_id"), roll()
+    ).agg(F.sum("l_quantity").alias("quantity"))
+    return stock.unmatched_supply(supply, request_lines(t))
+
+
+@query(
+    "o_orderkey BIGINT, id BIGINT",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) + (SELECT max(c_custkey) FROM c) AS id FROM o",
+)
+def next_ids(t):
+    return continue_ids(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], t.customer, "c_custkey")
+
+
+@query(
+    "id BIGINT, quantity9 DOUBLE",
+    """SELECT l_orderkey * 100000 + l_partkey AS id, CASE WHEN l_orderkey % 6 = 0 THEN
+      CASE WHEN p_size > 5 THEN round(CAST(sum(l_quantity) AS DOUBLE) / p_size, 4) END ELSE sum(l_quantity) END AS quantity9
+    FROM l JOIN p ON p_partkey = l_partkey GROUP BY l_orderkey, l_partkey, p_size""",
+)
+def convert_unit(t):
+    lines = request_lines(t).drop("quantity", "quantity9")
+    asked = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    asked = asked.select((F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("id"), "quantity")
+    converted = stock.convert_unit(lines.join(asked, "id"), items(t))
+    return converted.withColumn("quantity9", F.round("quantity9", 4))
+
+
+@query(
+    "item_id BIGINT, roll_code VARCHAR, quantity DOUBLE, parent_id BIGINT",
+    f"WITH {LINES_SQL} SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 'R' || item_id END AS roll_code, 0 AS quantity, id AS parent_id FROM ln",
+)
+def receipt_pieces(t):
+    scanned = t.part.filter(F.col("p_partkey") % 3 == 0).select(
+        F.col("p_partkey").alias("item_id"), roll("p_partkey")
+    )
+    return stock.receipt_pieces(request_lines(t), scanned)
+
+
+def quality_results(t):
+    """Each order is a quality result: its item becomes the next part, in the supplier's place."""
+    key = F.col("o_orderkey")
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_partkey").alias("item_id_delivery"), F.max("l_partkey").alias("item_id_receipt"),
+        F.min("l_suppkey").alias("warehouse_id_delivery"), F.max("l_suppkey").alias("warehouse_id_receipt"),
+        F.sum("l_quantity").alias("quantity9"), F.max("l_quantity").alias("receipt_quantity"),
+    )
+    return t.orders.join(lines, "o_orderkey").select(
+        F.lpad(key.cast("string"), 12, "0").alias("row_id"), "item_id_delivery", "item_id_receipt",
+        "warehouse_id_delivery", "warehouse_id_receipt", "quantity9", "receipt_quantity",
+        F.concat(F.lit("L"), key % 50).alias("lot_code"),
+        F.when(key % 4 > 0, F.concat(F.lit("T"), key % 60)).alias("lot_code_t5"),
+        F.concat(F.lit("R"), key).alias("roll_code"),
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("trans_code"),
+        F.lit(None).cast("string").alias("description"), F.col("o_orderdate").alias("doc_date"),
+    )
+
+
+RESULT_SQL = """q AS (SELECT o.*, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS row_id, di, ri, rw, q9, rq FROM o JOIN (SELECT l_orderkey AS k, min(l_partkey) AS di, max(l_partkey) AS ri,
+    max(l_suppkey) AS rw, sum(l_quantity) AS q9, max(l_quantity) AS rq FROM l GROUP BY 1) ON k = o_orderkey),
+  mv AS (SELECT row_id AS source_row_id, 1 AS doc_group, ri AS item_id, rw AS warehouse_id, rq AS quantity, 'L' || o_orderkey % 50 AS lot_code, 'R' || o_orderkey AS roll_code FROM q
+    UNION ALL SELECT row_id, 2, di, rw, q9, CASE WHEN o_orderkey % 4 > 0 THEN 'T' || o_orderkey % 60 END, 'R' || o_orderkey FROM q)"""
+
+
+def result_lines(t):
+    return documents.movement_lines(quality_results(t), warehouses(t), items(t))
+
+
+@query(
+    "source_row_id VARCHAR, doc_group BIGINT, item_id BIGINT, warehouse_id BIGINT, quantity DOUBLE, lot_code VARCHAR, debit_account VARCHAR, credit_account VARCHAR, unit VARCHAR",
+    f"""WITH {RESULT_SQL} SELECT source_row_id, doc_group, item_id, warehouse_id, quantity, lot_code, '15' || warehouse_id % 10 AS debit_account, '15' || warehouse_id % 10 AS credit_account,
+      CASE item_id % 2 WHEN 0 THEN 'kg' ELSE 'roll' END AS unit FROM mv""",
+)
+def movement_lines(t):
+    return result_lines(t)
+
+
+@query(
+    "source_row_id VARCHAR, item_id BIGINT, warehouse_id BIGINT, quantity DOUBLE, customer_id BIGINT, trans_code VARCHAR, doc_date VARCHAR, branch_code VARCHAR",
+    f"""WITH {RESULT_SQL}, first AS (SELECT * FROM q ORDER BY row_id LIMIT 1) SELECT q.row_id AS source_row_id, q.ri AS item_id, q.rw AS warehouse_id, q.rq AS quantity,
+      first.o_custkey AS customer_id, first.o_orderpriority AS trans_code, first.o_orderdate AS doc_date, 'B1' AS branch_code FROM q, first""",
+)
+def document_headers(t):
+    return documents.document_headers(quality_results(t), {"branch_code": "B1", "doc_code": "LR"})
+
+
+@query(
+    "source_row_id VARCHAR, doc_no VARCHAR",
+    f"""WITH {RESULT_SQL} SELECT row_id AS source_row_id, 'LRX/06/98-' || lpad(CAST(row_number() OVER (ORDER BY di, row_id) + (SELECT max(c_custkey) FROM c) AS VARCHAR), 6, '0') AS doc_no FROM q""",
+)
+def document_numbers(t):
+    heads = documents.document_headers(quality_results(t), {"branch_code": "B1"})
+    taken = t.customer.select(
+        F.concat(F.lit("LRX/05/98-"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("doc_no")
+    )
+    return documents.document_numbers(heads, taken, "X", 6, 1998)
+
+
+@query(
+    "source_row_id VARCHAR",
+    f"""WITH {RESULT_SQL} SELECT row_id AS source_row_id FROM q WHERE NOT (o_orderpriority = '1-URGENT' AND o_custkey % 2 = 0)""",
+)
+def replace_by_source(t):
+    stored = quality_results(t).select(
+        F.col("row_id").alias("source_row_id"), F.concat(F.lit("H"), "row_id").alias("header_id"),
+        F.when(F.col("customer_id") % 2 == 0, "B1").otherwise("B2").alias("branch_code"), "doc_date",
+    )
+    pieces = stored.select("header_id", "source_row_id")
+    again = quality_results(t).filter(F.col("trans_code") == "1-URGENT")
+    _, kept, _ = documents.replace_by_source(stored, {"pieces": pieces}, again, "B1")
+    return kept["pieces"]
+
+
+@query(
+    "first_date VARCHAR, last_date VARCHAR",
+    f"WITH {RESULT_SQL} SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM q WHERE o_orderpriority = '1-URGENT' AND o_custkey % 2 = 0",
+)
+def post_again_span(t):
+    stored = quality_results(t).select(
+        F.col("row_id").alias("source_row_id"), F.concat(F.lit("H"), "row_id").alias("header_id"),
+        F.when(F.col("customer_id") % 2 == 0, "B1").otherwise("B2").alias("branch_code"), "doc_date",
+    )
+    again = quality_results(t).filter(F.col("trans_code") == "1-URGENT")
+    return documents.replace_by_source(stored, {}, again, "B1")[2]
+
+
+@query(
+    "piece_id VARCHAR, source_row_id VARCHAR, doc_group BIGINT, item_id BIGINT, quantity DOUBLE, roll_code VARCHAR, lot_code VARCHAR, unit VARCHAR",
+    f"""WITH {RESULT_SQL} SELECT 'P' || source_row_id || '-' || doc_group AS piece_id, source_row_id, doc_group, item_id, quantity, roll_code, coalesce(lot_code, '') AS lot_code,
+      CASE item_id % 2 WHEN 0 THEN 'kg' ELSE 'roll' END AS unit FROM mv""",
+)
+def piece_rows(t):
+    return documents.piece_rows(result_lines(t))
+
+
+@query(
+    "source_row_id VARCHAR, total_roll BIGINT, barrel_quantity DOUBLE",
+    f"""WITH {RESULT_SQL} SELECT source_row_id, 1 AS total_roll, CASE WHEN p_size > 5 THEN
+      CAST((2 * CAST(quantity * 100 AS HUGEINT) + p_size) // (2 * p_size) AS DOUBLE) / 100 ELSE 0 END AS barrel_quantity
+    FROM mv JOIN p ON p_partkey = item_id WHERE doc_group = 2""",
+)
+def child_counts(t):
+    lines = result_lines(t)
+    return documents.child_counts(lines, documents.piece_rows(lines), items(t))
+
+
+@query(
+    "row_id VARCHAR, item_code_delivery VARCHAR, item_name_receipt VARCHAR, warehouse_code_delivery VARCHAR, warehouse_name_receipt VARCHAR, source_doc_no VARCHAR",
+    f"""WITH {RESULT_SQL} SELECT row_id, 'P' || di AS item_code_delivery, p_name AS item_name_receipt, 'W' || rw AS warehouse_code_delivery, s_name AS warehouse_name_receipt,
+      CASE WHEN o_orderkey % 3 = 0 THEN 'QC' || o_orderkey END AS source_doc_no FROM q JOIN p ON p_partkey = ri JOIN s ON s_suppkey = rw""",
+)
+def result_labels(t):
+    key = F.col("o_orderkey")
+    checks = t.orders.filter(key % 3 == 0).select(
+        F.lpad(key.cast("string"), 12, "0").alias("row_id"), F.concat(F.lit("QC"), key).alias("doc_no")
+    )
+    return documents.result_labels(quality_results(t), items(t), warehouses(t), checks)
