@@ -12,12 +12,13 @@ single task. The operators here cut the order into ranges instead:
    in two ranges, so at most two summary rows per split point are needed, and that table is
    broadcast.
 
-The sample decides only where the cuts are. Results are exact for any cuts.
+The sample decides only where the cuts are. Results are exact for any cuts. With keys, and no key
+large enough to fill a range, rows are not cut at all and one window per key does the work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,7 +55,8 @@ def split_points(
         .withColumn("__pick", F.rand(20240131))
         .orderBy("__pick")
         .limit(wanted)
-        .orderBy(*order_columns(order))
+        # The limit leaves one small partition; a global sort would sample and shuffle it again.
+        .sortWithinPartitions(*order_columns(order))
         .select(*[F.col(c).cast("string").alias(c) for c in names])
         .collect()
     )
@@ -64,6 +66,13 @@ def split_points(
     return sorted(set(cuts), key=cuts.index)
 
 
+def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
+    """Whether one key holds two split points, so that it fills a whole range. Otherwise every key
+    has less than two ranges of rows and can stay in one task."""
+    keys = [cut[:width] for cut in cuts]
+    return any(a == b for a, b in zip(keys, keys[1:]))
+
+
 def _typed_array(values: Sequence[str | None], sql_type: str) -> Column:
     quoted = [
         "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -130,6 +139,7 @@ def ordered_scan(
     fill_up: Mapping[str, str] | None = None,
     ranges: int | None = None,
     per_range: int = SAMPLE_PER_RANGE,
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Row number, running sums, neighbour values and last / next known values per key.
 
@@ -137,18 +147,33 @@ def ordered_scan(
     column to the column it is taken from: ``running`` sums from the first row to this one,
     ``previous`` and ``following`` take the neighbour row's value, ``fill_down`` the last
     non-null value up to this row, ``fill_up`` the first non-null value from this row on.
+
+    The frame is read three times: for the sample, for the summary and for the result. When it
+    comes out of a join or an aggregation, pass ``save`` (for example
+    ``sources.save_intermediate``) to compute it once.
     """
+    if save is not None:
+        df = save(df, "scan-input")
     running, previous, following = running or {}, previous or {}, following or {}
     fill_down, fill_up = fill_down or {}, fill_up or {}
     keys = list(keys)
     full_order = keys + list(order)
     cuts = split_points(df, full_order, _ranges_wanted(df, ranges), per_range)
+    if keys and not _large_key(cuts, len(keys)):
+        cuts = []
     ranged = with_range(df, full_order, cuts)
 
     by_order = order_columns(order)
     window = W.partitionBy(RANGE, *keys).orderBy(*by_order)
     so_far = window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    from_here = window.rowsBetween(W.currentRow, W.unboundedFollowing)
+    # Looking ahead is looking back in the reverse order: a frame that ends at the last row would
+    # be evaluated again for every row.
+    backwards = [o[1:] if o.startswith("-") else f"-{o}" for o in order]
+    from_here = (
+        W.partitionBy(RANGE, *keys)
+        .orderBy(*order_columns(backwards))
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
     need_first = bool(previous)
     need_last = bool(following)
     carried = bool(cuts)
@@ -165,7 +190,7 @@ def ordered_scan(
     for out, source in fill_down.items():
         local[out] = F.last(source, ignorenulls=True).over(so_far)
     for out, source in fill_up.items():
-        local[out] = F.first(source, ignorenulls=True).over(from_here)
+        local[out] = F.last(source, ignorenulls=True).over(from_here)
     if carried and need_last:
         local["__ahead"] = F.lead(F.lit(1)).over(window)
     # Window columns over the same window spec are computed by one Window operator.
@@ -325,6 +350,8 @@ def ordered_concat(
     joined inside each range of the order first, so a large key is never sorted in one task."""
     keys = list(keys)
     full_order = keys + list(order)
+    if options.get("save") is not None:
+        df = options["save"](df, "concat-input")
     ranges = _ranges_wanted(df, options.get("ranges"))
     cuts = split_points(df, full_order, ranges, options.get("per_range", SAMPLE_PER_RANGE))
     ordering = ", ".join(f"`{c}` DESC" if desc else f"`{c}`" for c, desc in order_terms(order))
@@ -335,7 +362,7 @@ def ordered_concat(
             f"listagg(cast(`{column}` as string), '{quoted}') within group (order by {within})"
         ).alias(alias)
 
-    if not cuts:
+    if not _large_key(cuts, len(keys)):
         return df.groupBy(*keys).agg(*[listed(c, ordering, out) for out, c in values.items()])
     ranged = with_range(df, full_order, cuts)
     pieces = ranged.groupBy(*keys, RANGE).agg(

@@ -158,8 +158,10 @@ def allocate_fifo(
     Running totals cut the quantity axis of a key into pieces; each piece belongs to the next
     supply end and the next demand end. Both kinds of ends are put in one order and the ids are
     carried back to the piece, so the work grows with the number of rows and not with pairs.
+    ``save`` in the options writes the ends of both sides once, as they are read three times.
     """
     keys = list(keys)
+    save = options.pop("save", None)
 
     def ends(df: DataFrame, id: str, order: Sequence[str], quantity: str, as_name: str) -> DataFrame:
         positive = df.filter(F.col(quantity) > 0)
@@ -177,6 +179,7 @@ def allocate_fifo(
         keys,
         previous={"__start": "__end"},
         fill_up={"__supply": "__s", "__demand": "__d"},
+        save=save,
         **options,
     )
     piece = F.col("__end") - F.coalesce("__start", F.lit(0))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators import documents, stock
 from tallyworks.operators.ordering import next_ids as continue_ids
 from tallyworks.plans.registry import query
-from tallyworks.sources import rows_to_xml
+from tallyworks.sources import rows_to_xml, save_intermediate
 from tallyworks.sources import xml_rows as read_xml_rows
 
 ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
@@ -182,7 +182,7 @@ def fifo(t):
     demand = t.lineitem.groupBy("l_partkey", "l_orderkey").agg(F.sum("l_quantity").alias("asked"))
     return stock.allocate_fifo(
         supplies(t), demand, ["l_partkey"], "l_suppkey", "l_orderkey", ["l_suppkey"], ["l_orderkey"],
-        "supplied", "asked",
+        "supplied", "asked", save=save_intermediate,
     )
 
 
