@@ -50,11 +50,16 @@ def rows_to_xml(
     )
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Where it is unset, as in a local run, a folder is
-    made for this session."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, as in a local run, one folder
+    is made for the application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="tallyworks-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if base is not None:
+        return base
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tallyworks-")
+    return _OWN_FOLDERS[application]
