@@ -7,7 +7,7 @@ description, doc_date). Every result becomes one document with a receipt and a d
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -27,25 +27,31 @@ def same_warehouse(results: DataFrame) -> DataFrame:
     return results.withColumn("warehouse_id_delivery", F.col("warehouse_id_receipt"))
 
 
-def batch_value(results: DataFrame, column: str, order: str = "row_id") -> Column:
-    """Value that holds for the whole batch: that of the first row that has one."""
-    known = F.when(F.col(column).isNotNull() & (F.col(column).cast("string") != ""), F.col(order))
-    return results.agg(F.min_by(column, known)).scalar()
+def batch_values(results: DataFrame, columns: Sequence[str], order: str = "row_id") -> Column:
+    """Values that hold for the whole batch: for each column that of the first row that has one,
+    as one struct from one pass."""
+
+    def first_known(column: str) -> Column:
+        known = F.col(column).isNotNull() & (F.col(column).cast("string") != "")
+        return F.min_by(column, F.when(known, F.col(order))).alias(column)
+
+    return results.agg(F.struct(*[first_known(c) for c in columns])).scalar()
 
 
 def document_headers(results: DataFrame, context: Mapping[str, Any]) -> DataFrame:
     """One header per result. Customer, transaction code, description and date are the same on
     all documents of the batch; ``context`` adds constants such as branch and user."""
+    batch = batch_values(results, ["customer_id", "trans_code", "description", "doc_date"])
     return results.select(
         F.col("row_id").alias("source_row_id"),
         F.col("item_id_delivery").alias("order_item_id"),
         F.col("item_id_receipt").alias("item_id"),
         F.col("warehouse_id_receipt").alias("warehouse_id"),
         F.col("receipt_quantity").alias("quantity"),
-        batch_value(results, "customer_id").alias("customer_id"),
-        batch_value(results, "trans_code").alias("trans_code"),
-        F.coalesce(batch_value(results, "description"), F.lit("")).alias("description"),
-        batch_value(results, "doc_date").alias("doc_date"),
+        batch.getField("customer_id").alias("customer_id"),
+        batch.getField("trans_code").alias("trans_code"),
+        F.coalesce(batch.getField("description"), F.lit("")).alias("description"),
+        batch.getField("doc_date").alias("doc_date"),
         F.lit(ISSUE).alias("doc_group"),
         *[F.lit(v).alias(k) for k, v in context.items()],
     )

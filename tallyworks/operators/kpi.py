@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyworks.functions import fiscal_period, root_code, weekday_gap
+from tallyworks.operators.joins import broadcast_if_small
 from tallyworks.operators.ordering import ordered_scan
 from tallyworks.operators.ranking import first_rows
 from tallyworks.operators.temporal import OPEN_DATE, map_codes, milestones
@@ -33,7 +34,9 @@ def band_join(
     for c in on:
         condition = condition & (F.col(f"f.{c}") == F.col(f"b.{c}"))
     extra = [F.col(f"b.{c}") for c in bands.columns if c not in (*on, low, high)]
-    return fact.alias("f").join(bands.alias("b"), condition, how).select("f.*", *extra)
+    # Few codes and many facts: a shuffle by code would pile the facts up in as many tasks.
+    small = broadcast_if_small(bands.alias("b"))
+    return fact.alias("f").join(small, condition, how).select("f.*", *extra)
 
 
 def overlapping_bands(bands: DataFrame, on: Sequence[str], low: str, high: str) -> DataFrame:
@@ -108,7 +111,9 @@ def working_seconds(
     """Business seconds between two timestamps. The calendar gets a running total of seconds, so
     each row needs one look-up per end and no walk over the days between."""
     totals = ordered_scan(calendar, ["day"], running={"__through": "length"}, **options)
-    placed = totals.withColumn("__before", F.col("__through") - F.col("length"))
+    placed = broadcast_if_small(
+        totals.withColumn("__before", F.col("__through") - F.col("length"))
+    )
 
     def position(moment: str, side: str) -> Column:
         second = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)

@@ -50,6 +50,7 @@ def split_points(
     whole frame is smaller than the sample: one range is then small enough by itself."""
     wanted = ranges * per_range
     names = [c for c, _ in order_terms(order)]
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     sampled = (
         df.select(*names)
         .withColumn("__pick", F.rand(20240131))
@@ -57,13 +58,20 @@ def split_points(
         .limit(wanted)
         # The limit leaves one small partition; a global sort would sample and shuffle it again.
         .sortWithinPartitions(*order_columns(order))
-        .select(*[F.col(c).cast("string").alias(c) for c in names])
+        .select(*[_comparable(c, types[c])[0].cast("string").alias(c) for c in names])
         .collect()
     )
     if len(sampled) < wanted:
         return []
-    cuts = [tuple(sampled[i * per_range]) for i in range(1, ranges)]
-    return sorted(set(cuts), key=cuts.index)
+    return list(dict.fromkeys(tuple(sampled[i * per_range]) for i in range(1, ranges)))
+
+
+def _comparable(column: str, sql_type: str) -> tuple[Column, str]:
+    """Column and type that keep their order through text. A timestamp with a zone is turned into
+    microseconds, as its text repeats an hour when clocks go back."""
+    if sql_type == "timestamp":
+        return F.unix_micros(column), "bigint"
+    return F.col(column), sql_type
 
 
 def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
@@ -96,19 +104,18 @@ def with_range(
     if not cuts:
         return df.withColumn(name, F.lit(0))
     terms = order_terms(order)
-    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    values = [_comparable(column, types[column]) for column, _ in terms]
     bounds = [
-        _typed_array([cut[i] for cut in cuts], types[column])
-        for i, (column, _) in enumerate(terms)
+        _typed_array([cut[i] for cut in cuts], kind) for i, (_, kind) in enumerate(values)
     ]
     step = 1 << (len(cuts).bit_length() - 1)
     out = df.withColumn(name, F.lit(0))
     while step:
         probe = F.col(name) + F.lit(step - 1)
         reached = F.lit(True)
-        for (column, desc), bound in reversed(list(zip(terms, bounds))):
+        for (_, desc), (value, _), bound in reversed(list(zip(terms, values, bounds))):
             at = F.get(bound, probe)
-            value = F.col(column)
             reached = _comes_after(value, at, desc) | (value.eqNullSafe(at) & reached)
         out = out.withColumn(
             name,

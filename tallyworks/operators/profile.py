@@ -86,8 +86,9 @@ def clean(
 def count_share(df: DataFrame, key: str, digits: int = 2) -> DataFrame:
     """Rows and percent of all rows per category, the largest marked. Rows without a category
     count in the whole and form no group."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    total = groups.agg(F.sum("rows")).scalar()
+    counted = groups.filter(F.col(key).isNotNull())
     most = counted.agg(F.max("rows")).scalar()
     return counted.select(
         key,

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.operators.joins import broadcast_if_small
 from tallyworks.operators.ordering import ordered_concat, ordered_scan
 from tallyworks.operators.ranking import first_rows
 
@@ -95,7 +96,8 @@ def map_codes(
     if isinstance(mapping, DataFrame):
         code, label = mapping.columns[:2]
         pairs = mapping.select(F.col(code).cast("string").alias("__code"), F.col(label).alias("__label"))
-        joined = df.join(pairs, F.col(column).cast("string") == F.col("__code"), "left")
+        known = broadcast_if_small(pairs)
+        joined = df.join(known, F.col(column).cast("string") == F.col("__code"), "left")
         return joined.withColumn(name, F.coalesce(F.col("__label"), F.lit(default))).drop(
             "__code", "__label"
         )
