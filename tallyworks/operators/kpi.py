@@ -555,8 +555,12 @@ def kpi_dataset(
         sources["clauses"].filter(F.col("business_type_code") == MAIN_CLAUSE)
         .groupBy("claim_id").agg(F.sum("compensation_amount").alias("amount"))
     )
+    # Only claims with a step on the day can have a newest step on it: their log rows are kept
+    # before the log is grouped.
+    log = sources["log"]
+    active = log.filter(F.to_date("created_date") == at).select("claim_id").distinct()
     timed = turnaround(
-        sources["log"],
+        log.join(broadcast_if_small(active), "claim_id", "left_semi"),
         base.select("claim_id", "region", "department_code").join(main, "claim_id"),
         sources["calendar"],
         **options,
