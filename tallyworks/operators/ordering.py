@@ -18,7 +18,9 @@ large enough to fill a range, rows are not cut at all and one window per key doe
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -43,22 +45,65 @@ def _ranges_wanted(df: DataFrame, ranges: int | None) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+@dataclass(frozen=True)
+class _Field:
+    """One ascending part of the order, with the SQL type it is compared in. ``descending`` is set
+    only where no ascending form exists."""
+
+    value: Column
+    kind: str
+    descending: bool = False
+
+
+def _fields(df: DataFrame, order: Sequence[str]) -> list[_Field]:
+    """The order as parts that all ascend, NULLs first, so that rows compare as structs.
+
+    A timestamp with a zone becomes microseconds: its text repeats an hour when clocks go back.
+    A descending number or date is turned round, behind a flag that puts its NULLs last.
+    Descending texts and zone-less timestamps stay descending.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out: list[_Field] = []
+    for name, desc in order_terms(order):
+        value, kind = F.col(name), types[name]
+        if kind == "timestamp":
+            value, kind = F.unix_micros(value), "bigint"
+        elif kind == "date" and desc:
+            value, kind = F.unix_date(value), "int"
+        if not desc:
+            out.append(_Field(value, kind))
+            continue
+        missing = _Field(value.isNull(), "boolean")
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            out += [missing, _Field(F.bitwise_not(value), kind)]
+        elif kind.startswith("decimal"):
+            out += [missing, _Field(-value, kind)]
+        elif kind in ("float", "double"):
+            number = _Field(~F.isnan(value), "boolean")
+            out += [missing, number, _Field(-value, kind)]
+        else:
+            out.append(_Field(value, kind, descending=True))
+    return out
+
+
 def split_points(
     df: DataFrame, order: Sequence[str], ranges: int, per_range: int = SAMPLE_PER_RANGE
 ) -> list[tuple[str | None, ...]]:
     """Sorted split points, as text, from ``ranges * per_range`` sampled rows. Empty when the
     whole frame is smaller than the sample: one range is then small enough by itself."""
     wanted = ranges * per_range
-    names = [c for c, _ in order_terms(order)]
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    fields = _fields(df, order)
+    names = [f"__k{i}" for i in range(len(fields))]
     sampled = (
-        df.select(*names)
+        df.select(*[f.value.alias(n) for f, n in zip(fields, names)])
         .withColumn("__pick", F.rand(20240131))
         .orderBy("__pick")
         .limit(wanted)
         # The limit leaves one small partition; a global sort would sample and shuffle it again.
-        .sortWithinPartitions(*order_columns(order))
-        .select(*[_comparable(c, types[c])[0].cast("string").alias(c) for c in names])
+        .sortWithinPartitions(
+            *[F.col(n).desc() if f.descending else F.col(n).asc() for f, n in zip(fields, names)]
+        )
+        .select(*[F.col(n).cast("string").alias(n) for n in names])
         .collect()
     )
     if len(sampled) < wanted:
@@ -66,14 +111,6 @@ def split_points(
     return list(dict.fromkeys(tuple(sampled[i * per_range]) for i in range(1, ranges)))
 
 
-def _comparable(column: str, sql_type: str) -> tuple[Column, str]:
-    """Column and type that keep their order through text. A timestamp with a zone is turned into
-    microseconds, as its text repeats an hour when clocks go back."""
-    if sql_type == "timestamp":
-        return F.unix_micros(column), "bigint"
-    return F.col(column), sql_type
-
-
 def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
     """Whether one key holds two split points, so that it fills a whole range. Otherwise every key
     has less than two ranges of rows and can stay in one task."""
@@ -81,12 +118,11 @@ def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
     return any(a == b for a, b in zip(keys, keys[1:]))
 
 
-def _typed_array(values: Sequence[str | None], sql_type: str) -> Column:
-    quoted = [
-        "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        for v in values
-    ]
-    return F.expr(f"cast(array({', '.join(quoted)}) as array<{sql_type}>)")
+def _typed_array(values: Sequence[str | None], kind: str) -> Column:
+    """Array constant from text. Written as one JSON text, it is a single literal for the planner
+    also with thousands of split points."""
+    parsed = F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+    return parsed.cast(f"array<{kind}>")
 
 
 def _comes_after(value: Column, bound: Column, desc: bool) -> Column:
@@ -100,30 +136,29 @@ def _comes_after(value: Column, bound: Column, desc: bool) -> Column:
 def with_range(
     df: DataFrame, order: Sequence[str], cuts: Sequence[tuple[str | None, ...]], name: str = RANGE
 ) -> DataFrame:
-    """Add the number of split points that are not after the row."""
+    """Add the number of split points that are not after the row, by binary search.
+
+    The halving steps are one expression and not one projection each: the optimizer would copy
+    every step into the next."""
     if not cuts:
         return df.withColumn(name, F.lit(0))
-    terms = order_terms(order)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    values = [_comparable(column, types[column]) for column, _ in terms]
-    bounds = [
-        _typed_array([cut[i] for cut in cuts], kind) for i, (_, kind) in enumerate(values)
-    ]
-    step = 1 << (len(cuts).bit_length() - 1)
-    out = df.withColumn(name, F.lit(0))
-    while step:
-        probe = F.col(name) + F.lit(step - 1)
+    fields = _fields(df, order)
+    bounds = [_typed_array([cut[i] for cut in cuts], f.kind) for i, f in enumerate(fields)]
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def advance(position: Column, step: Column) -> Column:
+        probe = position + step - F.lit(1)
+        # The first part of the order decides most rows; the rest is looked at only on a tie.
         reached = F.lit(True)
-        for (_, desc), (value, _), bound in reversed(list(zip(terms, values, bounds))):
+        for f, bound in reversed(list(zip(fields, bounds))):
             at = F.get(bound, probe)
-            reached = _comes_after(value, at, desc) | (value.eqNullSafe(at) & reached)
-        out = out.withColumn(
-            name,
-            F.col(name)
-            + F.when((probe < F.lit(len(cuts))) & reached, F.lit(step)).otherwise(F.lit(0)),
-        )
-        step >>= 1
-    return out
+            after = _comes_after(f.value, at, f.descending)
+            reached = after | (f.value.eqNullSafe(at) & reached)
+        taken = F.when((probe < F.lit(len(cuts))) & reached, step).otherwise(F.lit(0))
+        return position + taken
+
+    searched = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    return df.withColumn(name, searched)
 
 
 def _null_safe(left: str, right: str, names: Sequence[str]) -> Column:
@@ -245,6 +280,12 @@ def ordered_scan(
     return joined.select(*columns)
 
 
+def _key_from_text(name: str, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.timestamp_micros(F.col(name).cast("bigint"))
+    return F.col(name).cast(kind)
+
+
 def _carry_table(
     ranged, full_order, order, keys, cuts, number, running, previous, following, fill_down, fill_up
 ) -> DataFrame:
@@ -256,7 +297,7 @@ def _carry_table(
         cut_keys = sorted({cut[: len(keys)] for cut in cuts}, key=str)
         text = ", ".join(f"`{k}` string" for k in keys)
         straddling = spark.createDataFrame([tuple(c) for c in cut_keys], text).select(
-            *[F.col(k).cast(types[k]).alias(k) for k in keys]
+            *[_key_from_text(k, types[k]).alias(k) for k in keys]
         )
         rows = (
             ranged.alias("s")

@@ -11,6 +11,7 @@ from tallyworks import streaming
 from tallyworks.operators.change_log import with_fingerprint
 from tallyworks.plans.registry import query
 from tallyworks.sources import save_intermediate, scratch_dir
+from tallyworks.sources.tables import SCHEMAS
 
 
 def folder(t, name: str) -> str:
@@ -18,9 +19,8 @@ def folder(t, name: str) -> str:
 
 
 def event_stream(t):
-    schema = t.spark.read.parquet(f"{t.path}/events.parquet").schema
     # The file source needs a folder or a pattern.
-    stream = t.spark.readStream.schema(schema).parquet(f"{t.path}/events.parque[t]")
+    stream = t.spark.readStream.schema(SCHEMAS["events"]).parquet(f"{t.path}/events.parque[t]")
     # Watermarks need a timestamp with a zone; the day is taken from the written time.
     return stream.withColumn("day", F.to_date("ts")).withColumn("ts", F.col("ts").cast("timestamp"))
 

@@ -9,6 +9,25 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import MONEY
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 MONEY_COLUMNS = {
     "customer": ["c_acctbal"],
     "supplier": ["s_acctbal"],
@@ -29,7 +48,7 @@ class Tables:
         self.path = path
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}.parquet")
         casts = {c: F.col(c).cast(MONEY) for c in MONEY_COLUMNS.get(name, [])}
         casts |= {c: F.col(c).cast("date") for c in DATE_COLUMNS.get(name, [])}
         return df.withColumns(casts) if casts else df

@@ -111,3 +111,36 @@ def test_ordered_concat_in_ranges(skewed):
     assert got == plain
     data = sorted((r for r in skewed.collect() if r.k == 1), key=lambda r: (r.o, r.id))
     assert got[1] == ";".join(str(r.v) for r in data if r.v is not None)
+
+
+def test_order_by_other_types(spark, skewed):
+    """Timestamps across the hour that clocks repeat, dates, decimals and doubles."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = skewed.select(
+            "id",
+            F.timestamp_seconds(F.lit(1729990000) + F.col("id") * 37).alias("ts"),
+            F.date_add(F.lit("2024-02-27").cast("date"), F.col("o")).alias("d"),
+            (F.col("v") / 7).alias("x"),
+            F.col("v").cast("decimal(20,4)").alias("m"),
+        ).cache()
+        for order in (["ts", "id"], ["-ts"], ["-d", "-ts"], ["x", "m", "id"], ["-m", "-x", "-id"]):
+            got = number_rows(df, order, "n", **CUT)
+            cols = [F.col(c[1:]).desc() if c[0] == "-" else F.col(c).asc() for c in order]
+            want = df.withColumn("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*cols)))
+            assert {r.id: r.n for r in got.collect()} == {r.id: r.n for r in want.collect()}
+        # A timestamp as a large key.
+        keyed = df.withColumn("k", F.when(F.col("id") < 400, F.timestamp_seconds(F.lit(1729991000))).otherwise(F.col("ts")))
+        got = ordered_scan(keyed, ["id"], ["k"], running={"t": "id"}, **CUT)
+        want = keyed.withColumn("t", F.sum("id").over(W.partitionBy("k").orderBy("id")))
+        assert {r.id: r.t for r in got.collect()} == {r.id: r.t for r in want.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_cuts_at_many_ranges(spark):
+    df = spark.range(3000).withColumn("s", F.concat(F.lit("é'\"\\"), F.col("id") % 50))
+    got = number_rows(df, ["s", "id"], "n", ranges=600, per_range=4)
+    want = df.withColumn("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy("s", "id")))
+    assert {r.id: r.n for r in got.collect()} == {r.id: r.n for r in want.collect()}
