@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.llm.license_scan import license_scan
 from tallyworks.llm.url_filter import host_of, judge_urls
 
 URL_RULES = (
@@ -55,8 +56,14 @@ SELECT k.page_id, k.host, k.path, fit.rule,
 FROM k LEFT JOIN fit USING (page_id) LEFT JOIN listed ON k.key = listed.key
 """
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every document, exactly and with errors."""
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {
