@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.license_scan import license_scan
 from tallyworks.llm.url_filter import host_of, judge_urls
 
@@ -61,11 +62,36 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, for all documents and items."""
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = r"""
+WITH iw AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+i AS (
+  SELECT item_id, least(len(w), 5) AS m, list_distinct([array_to_string(w[j:j + least(len(w), 5) - 1], ' ')
+    FOR j IN range(1, len(w) - least(len(w), 5) + 2)]) AS s
+  FROM iw WHERE len(w) > 0),
+iu AS (SELECT item_id, m, len(s) AS n, unnest(s) AS sh FROM i),
+dw AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+du AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[j:j + m - 1], ' ') FOR j IN range(1, len(w) - m + 2)]) AS sh
+  FROM dw, (SELECT DISTINCT m FROM i))
+SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_shared,
+  count(*) / n::DOUBLE AS containment
+FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 * n
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
     "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {
+    "op6_decontamination": OP6_SQL,
     "op8_url_filter": OP8_SQL,
 }
