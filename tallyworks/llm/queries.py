@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.license_scan import license_scan
+from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
 
 URL_RULES = (
@@ -62,6 +63,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, for all documents and items."""
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -86,6 +92,7 @@ FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 *
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
     "op10_license_scan": op10_license_scan,
