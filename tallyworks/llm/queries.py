@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.decontamination import contaminated
+from tallyworks.llm.embedding_dedup import embedding_near_duplicates
 from tallyworks.llm.license_scan import license_scan
 from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
@@ -58,6 +59,23 @@ SELECT k.page_id, k.host, k.path, fit.rule,
 FROM k LEFT JOIN fit USING (page_id) LEFT JOIN listed ON k.key = listed.key
 """
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    return embedding_near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links,
+  (SELECT min(b) FROM r WHERE r.a = v.vec_id) AS component_id,
+  v.vec_id = (SELECT min(b) FROM r WHERE r.a = v.vec_id) AS kept
+FROM v
+"""
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named in every document, exactly and with errors."""
     return license_scan(read(spark, sf_dir, "documents"))
@@ -95,10 +113,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {
     "op6_decontamination": OP6_SQL,
     "op8_url_filter": OP8_SQL,
+    "op9_embedding_dedup": OP9_SQL,
 }
