@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.embedding_dedup import embedding_near_duplicates
 from tallyworks.llm.license_scan import license_scan
+from tallyworks.llm.quality import score_quality
 from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
 
@@ -81,6 +82,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_duplicates(read(spark, sf_dir, "documents"))
@@ -110,6 +116,7 @@ FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 *
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
