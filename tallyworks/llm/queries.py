@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.embedding_dedup import embedding_near_duplicates
 from tallyworks.llm.license_scan import license_scan
+from tallyworks.llm.packing import packed
 from tallyworks.llm.quality import score_quality
 from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
@@ -29,6 +31,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on every URL of pages. Listed are the URLs on hosts with unwanted names."""
     pages = read(spark, sf_dir, "pages")
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
+    "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_license_scan": op10_license_scan,
