@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.embedding_dedup import embedding_near_duplicates
 from tallyworks.llm.license_scan import license_scan
+from tallyworks.llm.line_dedup import dedup_lines
 from tallyworks.llm.packing import packed
 from tallyworks.llm.quality import score_quality
 from tallyworks.llm.simhash import near_duplicates
@@ -89,6 +90,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines, and how many lines match others."""
+    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "n_links", "text")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -123,6 +129,7 @@ FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 *
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
