@@ -213,3 +213,15 @@ def near_duplicates(
     return marks.join(classes, F.col("fp") == F.col("__fp"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The document with the smallest id of each component, with its columns; of repeated rows of
+    an id one stays. Rows with a null id stay."""
+    marks = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
+    id_of = F.col(f"`{id_col}`")
+    kept = saved(
+        marks.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct(), "kept-documents"
+    )
+    named = docs.filter(id_of.isNotNull()).join(kept, id_of == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.filter(id_of.isNull()))
