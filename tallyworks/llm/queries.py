@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.decontamination import contaminated
 from tallyworks.llm.embedding_dedup import embedding_near_duplicates
+from tallyworks.llm.language_model import language_scores
 from tallyworks.llm.license_scan import license_scan
 from tallyworks.llm.line_dedup import dedup_lines
 from tallyworks.llm.packing import packed
@@ -100,6 +101,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and network score of every document."""
+    return language_scores(read(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_duplicates(read(spark, sf_dir, "documents"))
@@ -131,6 +137,7 @@ FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 *
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
+    "op4_language_model": op4_language_model,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
