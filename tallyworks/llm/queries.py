@@ -14,6 +14,7 @@ from tallyworks.llm.language_model import language_scores
 from tallyworks.llm.license_scan import license_scan
 from tallyworks.llm.line_dedup import dedup_lines
 from tallyworks.llm.packing import packed
+from tallyworks.llm.pii import find_pii
 from tallyworks.llm.quality import score_quality
 from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
@@ -91,6 +92,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return find_pii(read(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines, and how many lines match others."""
     return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "n_links", "text")
@@ -135,6 +141,7 @@ FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 *
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
     "op4_language_model": op4_language_model,
