@@ -15,7 +15,17 @@ def decimal_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def rounded_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    return F.round(decimal_ratio(numerator, denominator), digits)
+    """Quotient rounded once, half away from zero, by integer division of both operands' millionths.
+    NULL for a zero denominator."""
+    n, d = _millionths(numerator), _millionths(denominator)
+    doubled = (F.abs(n) * F.lit(2 * 10**digits) + F.abs(d)).cast("decimal(38,0)")
+    whole = F.call_function("div", doubled, F.nullif(F.abs(d) * F.lit(2), F.lit(0)).cast("decimal(38,0)"))
+    sign = F.when((n < 0) == (d < 0), 1).otherwise(-1)
+    return ((sign * whole).cast(f"decimal(28,0)") / F.lit(10**digits)).cast(f"decimal(28,{digits})")
+
+
+def _millionths(value: Column) -> Column:
+    return (value.cast(_OPERAND) * F.lit(1_000_000)).cast("decimal(28,0)")
 
 
 def half_up(value: Column, digits: int = 2) -> Column:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions import fingerprint
@@ -33,11 +34,17 @@ def change_log_append(
     key = list(key)
     before = log if as_of is None else log.filter(F.col(day) < F.lit(as_of).cast("date"))
     if compare == "any":
-        return snapshot.join(before.select(*key, hash).distinct(), [*key, hash], "left_anti")
+        return _not_in(snapshot, before.select(*key, hash).distinct(), [*key, hash])
     if compare != "latest":
         raise ValueError(f"unknown comparison {compare}")
     same = latest_state(before, key, hash, day).select(*key, hash)
-    return snapshot.join(same, [*key, hash], "left_anti")
+    return _not_in(snapshot, same, [*key, hash])
+
+
+def _not_in(rows: DataFrame, others: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without an equal row, where NULL equals NULL: a key with a NULL part is a key too."""
+    equal = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"o.`{c}`")) for c in columns]
+    return rows.alias("r").join(others.alias("o"), reduce(Column.__and__, equal), "left_anti")
 
 
 def latest_state(log: DataFrame, key: Sequence[str], hash: str = "row_hash", day: str = "fk_date") -> DataFrame:

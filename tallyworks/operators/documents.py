@@ -62,11 +62,15 @@ def document_numbers(
 ) -> DataFrame:
     """Document number prefix/month/year-sequence, after the highest number with the prefix."""
     prefix = NUMBER_PREFIX + number_format
+    # The highest number, not the highest text: texts of other months or lengths sort otherwise.
+    last = F.substring_index("doc_no", "-", -1).try_cast("bigint")
     taken = existing.filter(F.col("doc_no").startswith(prefix)).agg(
-        F.coalesce(F.right(F.max("doc_no"), F.lit(6)).cast("bigint"), F.lit(0))
+        F.coalesce(F.max(last), F.lit(0))
     ).scalar()
     numbered = number_rows(headers, ["order_item_id", "source_row_id"], "__n", **options)
-    sequence = F.lpad((F.col("__n") + taken).cast("string"), 6, "0")
+    number = (F.col("__n") + taken).cast("string")
+    # Padding to a fixed width would cut longer numbers.
+    sequence = F.when(F.length(number) >= 6, number).otherwise(F.lpad(number, 6, "0"))
     stem = f"{prefix}/{month:02d}/{year % 100:02d}-"
     return numbered.withColumn("doc_no", F.concat(F.lit(stem), sequence)).drop("__n")
 

@@ -27,6 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE_PER_RANGE = 64
+#: The driver holds the sample, at most so many ranges of it.
+MAX_RANGES = 4_096
 RANGE = "__range"
 
 
@@ -89,26 +91,29 @@ def _fields(df: DataFrame, order: Sequence[str]) -> list[_Field]:
 def split_points(
     df: DataFrame, order: Sequence[str], ranges: int, per_range: int = SAMPLE_PER_RANGE
 ) -> list[tuple[str | None, ...]]:
-    """Sorted split points, as text, from ``ranges * per_range`` sampled rows. Empty when the
-    whole frame is smaller than the sample: one range is then small enough by itself."""
+    """Sorted split points, as text, one for every ``per_range`` of about ``ranges * per_range``
+    sampled rows; a value that fills several ranges comes several times. Every task keeps its share
+    of the sample only. Empty when the whole frame is smaller than the sample: one range is then
+    small enough by itself."""
+    ranges = min(ranges, MAX_RANGES)
     wanted = ranges * per_range
+    total = df.count()
+    if total < wanted:
+        return []
     fields = _fields(df, order)
     names = [f"__k{i}" for i in range(len(fields))]
     sampled = (
         df.select(*[f.value.alias(n) for f, n in zip(fields, names)])
-        .withColumn("__pick", F.rand(20240131))
-        .orderBy("__pick")
-        .limit(wanted)
-        # The limit leaves one small partition; a global sort would sample and shuffle it again.
+        .filter(F.rand(20240131) < min(1.0, wanted / total))
+        # Only the sample meets in one partition; a global sort would sample and shuffle it again.
+        .repartition(1)
         .sortWithinPartitions(
             *[F.col(n).desc() if f.descending else F.col(n).asc() for f, n in zip(fields, names)]
         )
         .select(*[F.col(n).cast("string").alias(n) for n in names])
         .collect()
     )
-    if len(sampled) < wanted:
-        return []
-    return list(dict.fromkeys(tuple(sampled[i * per_range]) for i in range(1, ranges)))
+    return [tuple(sampled[i * len(sampled) // ranges]) for i in range(1, ranges)] if sampled else []
 
 
 def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
@@ -203,6 +208,7 @@ def ordered_scan(
     cuts = split_points(df, full_order, _ranges_wanted(df, ranges), per_range)
     if keys and not _large_key(cuts, len(keys)):
         cuts = []
+    cuts = list(dict.fromkeys(cuts))
     ranged = with_range(df, full_order, cuts)
 
     by_order = order_columns(order)
@@ -412,7 +418,7 @@ def ordered_concat(
 
     if not _large_key(cuts, len(keys)):
         return df.groupBy(*keys).agg(*[listed(c, ordering, out) for out, c in values.items()])
-    ranged = with_range(df, full_order, cuts)
+    ranged = with_range(df, full_order, list(dict.fromkeys(cuts)))
     pieces = ranged.groupBy(*keys, RANGE).agg(
         *[listed(c, ordering, out) for out, c in values.items()]
     )

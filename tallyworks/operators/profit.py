@@ -10,7 +10,6 @@ and aggregation, whatever the depth.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -18,10 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.temporal import map_codes
+from tallyworks.sources.sinks import save_intermediate
 
 AMOUNT = "decimal(38,4)"
 VALUE_KEYS = ("stt", "item_code", "item_name", "ma_so", "branch_code", "division_code")
-MAX_DEFINITIONS = 10_000
 
 # Division codes and the other spellings of each; no code at all is KXD.
 DIVISION_SYNONYMS = {
@@ -122,41 +121,38 @@ def formula_terms(metrics: DataFrame, column: str = "formula") -> DataFrame:
     )
 
 
-def _definitions(metrics: DataFrame) -> list:
-    rows = metrics.limit(MAX_DEFINITIONS + 1).collect()
-    if len(rows) > MAX_DEFINITIONS:
-        raise ValueError(f"more than {MAX_DEFINITIONS} metric definitions")
-    return rows
-
-
-def expanded_terms(metrics: DataFrame, column: str = "formula") -> DataFrame:
+def expanded_terms(
+    metrics: DataFrame,
+    column: str = "formula",
+    save: Callable[[DataFrame, str], DataFrame] = save_intermediate,
+) -> DataFrame:
     """Coefficients of every formula metric over metrics without a formula: (ma_so, term,
     coefficient). A term that cancels out stays in with coefficient 0, as its rows still count
-    as rows of the metric. Formulas that refer to themselves are refused."""
-    spark = metrics.sparkSession
-    direct: dict[str, list] = defaultdict(list)
-    for row in _definitions(formula_terms(metrics, column)):
-        direct[row.ma_so].append((row.term, row.sign))
-    done: dict[str, dict[str, int]] = {}
-    waiting: set[str] = set()
-
-    def resolve(code: str) -> dict[str, int]:
-        if code in done:
-            return done[code]
-        if code in waiting:
-            raise ValueError(f"formula of {code} refers to itself")
-        waiting.add(code)
-        total: dict[str, int] = defaultdict(int)
-        for term, sign in direct[code]:
-            parts = resolve(term) if term in direct else {term: 1}
-            for base, coefficient in parts.items():
-                total[base] += sign * coefficient
-        waiting.discard(code)
-        done[code] = dict(total)
-        return done[code]
-
-    rows = [(code, base, c) for code in list(direct) for base, c in resolve(code).items()]
-    return spark.createDataFrame(rows, "ma_so string, term string, coefficient int")
+    as rows of the metric. Formulas that refer to themselves are refused.
+
+    Every round puts the expansions so far in place of the metrics in them, so a chain of n metrics
+    takes about log2(n) rounds of one join."""
+    terms = formula_terms(metrics, column).groupBy("ma_so", "term").agg(F.sum("sign").alias("coefficient"))
+    known = save(terms, "formula-terms")
+    codes = save(known.select(F.col("ma_so").alias("__code")).distinct(), "formula-codes")
+    rounds = codes.count().bit_length() + 1
+    while True:
+        open_terms = known.join(codes, F.col("term") == F.col("__code"), "left_semi")
+        waiting = open_terms.first()
+        if waiting is None:
+            return known
+        if rounds == 0:
+            raise ValueError(f"formula of {waiting.ma_so} refers to itself")
+        rounds -= 1
+        inner = known.select(
+            F.col("ma_so").alias("__inner"), F.col("term").alias("__term"), F.col("coefficient").alias("__times")
+        )
+        replaced = known.join(inner, F.col("term") == F.col("__inner"), "left").select(
+            "ma_so",
+            F.coalesce("__term", "term").alias("term"),
+            (F.col("coefficient") * F.coalesce("__times", F.lit(1))).alias("coefficient"),
+        )
+        known = save(replaced.groupBy("ma_so", "term").agg(F.sum("coefficient").alias("coefficient")), "formula-terms")
 
 
 def base_metrics(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,7 +165,9 @@ def allocate_fifo(
     save = options.pop("save", None)
 
     def ends(df: DataFrame, id: str, order: Sequence[str], quantity: str, as_name: str) -> DataFrame:
-        positive = df.filter(F.col(quantity) > 0)
+        # A key with a NULL part equals no other key, so such rows take no part.
+        known = [F.col(k).isNotNull() for k in keys]
+        positive = df.filter(reduce(Column.__and__, known, F.col(quantity) > 0))
         totals = ordered_scan(positive, order, keys, running={"__end": quantity}, **options)
         return totals.select(
             *keys, F.col("__end").cast("decimal(38,4)").alias("__end"), F.col(id).alias(as_name)

@@ -60,14 +60,16 @@ def asof_row_join(
         known = known.filter(F.col(k).isNotNull())
     version = F.struct(F.col(end).cast("date").alias("__end"), *payload)
     versions = known.select(
-        *on, F.col(eff).cast("date").alias("__at"), F.lit(0).alias("__kind"), version.alias("__v")
+        *on, F.col(eff).cast("date").alias("__at"), F.lit(0).alias("__kind"), F.lit(0).cast("bigint").alias("__tie"), version.alias("__v")
     )
+    # The tie lets many facts of one key and day be cut; they see the same version in any order.
     facts = fact.select(
-        *on, F.col(date).cast("date").alias("__at"), F.lit(1).alias("__kind"), F.struct(*fact.columns).alias("__f")
+        *on, F.col(date).cast("date").alias("__at"), F.lit(1).alias("__kind"), F.xxhash64(*fact.columns).alias("__tie"),
+        F.struct(*fact.columns).alias("__f"),
     )
     scanned = ordered_scan(
         versions.unionByName(facts, allowMissingColumns=True),
-        ["__at", "__kind"],
+        ["__at", "__kind", "__tie"],
         on,
         fill_down={"__seen": "__v"},
         **options,

@@ -303,12 +303,13 @@ def document_headers(t):
 
 @query(
     "source_row_id VARCHAR, doc_no VARCHAR",
-    f"""WITH {RESULT_SQL} SELECT row_id AS source_row_id, 'LRX/06/98-' || lpad(CAST(row_number() OVER (ORDER BY di, row_id) + (SELECT max(c_custkey) FROM c) AS VARCHAR), 6, '0') AS doc_no FROM q""",
+    f"""WITH {RESULT_SQL} SELECT row_id AS source_row_id, 'LRX/06/98-' || printf('%06d', row_number() OVER (ORDER BY di, row_id) + (SELECT max(c_custkey) FROM c) + 995000) AS doc_no FROM q""",
 )
 def document_numbers(t):
     heads = documents.document_headers(quality_results(t), {"branch_code": "B1"})
     taken = t.customer.select(
-        F.concat(F.lit("LRX/05/98-"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("doc_no")
+        # Numbers just below a million: the new ones go beyond six digits.
+        F.concat(F.lit("LRX/05/98-"), F.format_string("%06d", F.col("c_custkey") + 995_000)).alias("doc_no")
     )
     return documents.document_numbers(heads, taken, "X", 6, 1998)
 

@@ -80,7 +80,7 @@ def scan_allocation_stream(t):
     )
     path = folder(t, "allocations")
     job = streaming.scan_stream(
-        source, lambda: lines, path, folder(t, "allocations-checkpoint"), delay="60 days"
+        source, lambda: lines, path, folder(t, "allocations-checkpoint")
     )
     job.awaitTermination()
     return t.spark.read.parquet(path)

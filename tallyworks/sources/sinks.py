@@ -54,11 +54,14 @@ _OWN_FOLDERS: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Where it is unset, as in a local run, one folder
-    is made for the application."""
+    """``spark.checkpoint.dir`` of the session, which all executors must share. Only a local run may
+    leave it unset; one folder is then made for the application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is not None:
         return base
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _OWN_FOLDERS:
         _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tallyworks-")

@@ -10,16 +10,23 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators.change_log import append_day
 from tallyworks.operators.stock import allocate_fifo
+from tallyworks.sources.sinks import save_intermediate
 
+REPEATED, NO_CODE = "already scanned", "no roll code"
 
-def unique_scans(scans: DataFrame, ts: str, roll: str = "roll_code", delay: str = "1 day") -> DataFrame:
-    """The first scan of every roll. State is kept for the watermark delay only."""
-    return scans.withWatermark(ts, delay).dropDuplicatesWithinWatermark([roll])
+
+def unique_scans(scans: DataFrame, ts: str, roll: str = "roll_code") -> DataFrame:
+    """Scans with ``reason``: NULL for the first scan of a roll in the frame, else why it is refused.
+    Of scans at one time the one with the smaller row hash counts."""
+    window = W.partitionBy(roll).orderBy(ts, F.xxhash64(*scans.columns))
+    repeated = F.when(F.row_number().over(window) > 1, F.lit(REPEATED))
+    return scans.withColumn("reason", F.when(F.col(roll).isNull(), F.lit(NO_CODE)).otherwise(repeated))
 
 
 def scan_stream(
@@ -28,7 +35,6 @@ def scan_stream(
     path: str,
     checkpoint: str,
     ts: str = "ts",
-    delay: str = "1 day",
     **options,
 ) -> StreamingQuery:
     """Allocate the rolls of each micro-batch to the demand that is still open.
@@ -36,11 +42,25 @@ def scan_stream(
     ``scans`` has (roll_code, item_id, quantity, ts) and ``demand`` returns the request lines
     (id, item_id, quantity, builtin_order). What earlier batches gave is read from ``path`` and
     taken off the demand first.
+
+    A roll is taken once, ever: the codes of all taken rolls are kept in ``path``-scans and every
+    batch is compared with them, however late a scan comes. Refused scans are written to
+    ``path``-refused with a reason. Nothing is dropped by a watermark.
     """
     spark = scans.sparkSession
     schema = "item_id bigint, roll_code string, id bigint, allocated decimal(28,4), batch bigint"
 
     def handle(batch: DataFrame, number: int) -> None:
+        taken_before = _read(spark, f"{path}-scans", "roll_code string, batch bigint").filter(F.col("batch") < number)
+        judged = unique_scans(save_intermediate(batch, "scan-batch"), ts)
+        known = taken_before.select(F.col("roll_code").alias("__taken")).distinct()
+        judged = judged.join(known, F.col("roll_code") == F.col("__taken"), "left").withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("__taken").isNotNull(), F.lit(REPEATED)))
+        )
+        judged = save_intermediate(judged.drop("__taken"), "judged-scans")
+        accepted = judged.filter(F.col("reason").isNull()).drop("reason")
+        judged.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(f"{path}-refused/batch={number}")
+        accepted.select("roll_code").write.mode("overwrite").parquet(f"{path}-scans/batch={number}")
         lines = demand()
         given_before = _read(spark, path, schema).filter(F.col("batch") < number)
         taken = given_before.groupBy("id").agg(F.sum("allocated").alias("__taken"))
@@ -48,14 +68,13 @@ def scan_stream(
             "quantity", F.col("quantity") - F.coalesce("__taken", F.lit(0))
         )
         given = allocate_fifo(
-            batch, still_open, ["item_id"], "roll_code", "id",
+            accepted, still_open, ["item_id"], "roll_code", "id",
             [ts, "roll_code"], ["builtin_order", "id"], **options,
         )
         given.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
-        unique_scans(scans, ts, delay=delay)
-        .writeStream.foreachBatch(handle)
+        scans.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -75,3 +75,9 @@ def test_ratios(spark):
     got = [str(r[0]) for r in df.select(fn.rounded_ratio(F.col("a"), F.col("b"))).collect()]
     assert got == ["0.33", "None", "None", "0.13", "-0.13"]
     assert rows(spark.range(1).select(fn.half_up(F.lit(Dec("2.345"))))) == [(Dec("2.35"),)]
+
+
+def test_ratio_is_rounded_once(spark):
+    df = table(spark, "a bigint, b bigint", (4_999_999_999_999, 10**15), (-1, 8), (1, 0), (1, 200))
+    got = [r[0] for r in df.select(fn.rounded_ratio(F.col("a"), F.col("b"))).collect()]
+    assert [None if g is None else str(g) for g in got] == ["0.00", "-0.13", None, "0.01"]

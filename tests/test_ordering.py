@@ -144,3 +144,13 @@ def test_cuts_at_many_ranges(spark):
     got = number_rows(df, ["s", "id"], "n", ranges=600, per_range=4)
     want = df.withColumn("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy("s", "id")))
     assert {r.id: r.n for r in got.collect()} == {r.id: r.n for r in want.collect()}
+
+
+def test_the_sample_is_taken_in_the_tasks(spark):
+    from tallyworks.operators import ordering
+
+    df = spark.range(20_000).withColumn("k", F.when(F.col("id") < 18_000, 1).otherwise(F.col("id")))
+    cuts = ordering.split_points(df, ["k"], 4, 16)
+    assert len(cuts) == 3 and ordering._large_key(cuts, 1)
+    cut = ordering.ordered_scan(df.withColumn("one", F.lit(1)), ["id"], ["k"], running={"n": "one"}, ranges=4, per_range=16)
+    assert cut.filter("k = 1").agg(F.max("n")).first()[0] == 18_000

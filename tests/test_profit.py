@@ -94,3 +94,16 @@ def test_tables(spark):
     assert got == {"A1": 15, "A2": 0, "A3": 100, "B": 115, "C": 100}
     both = profit.side_by_side(profit.pivot_with_total(first), profit.pivot_with_total(second)).collect()
     assert [(r.ma_so, int(r.total), int(r.total_t2)) for r in both] == [("A1", 15, 15), ("A2", 9, 0), ("A3", 100, 100), ("B", 106, 115), ("C", 121, 100)]
+
+
+def test_long_chains_and_many_terms(spark):
+    from tallyworks.operators.profit import expanded_terms
+
+    schema = "ma_so string, formula string"
+    chain = [(f"M{i}", f"M{i + 1}-X") for i in range(1_500)] + [("M1500", "Y")]
+    got = {(r.ma_so, r.term): r.coefficient for r in expanded_terms(table(spark, schema, *chain)).collect()}
+    assert got["M0", "Y"] == 1 and got["M0", "X"] == -1_500 and got["M1499", "X"] == -1
+    wide = [(f"W{i}", "+".join(f"T{j}" for j in range(6))) for i in range(2_000)]
+    assert expanded_terms(table(spark, schema, *wide)).count() == 12_000
+    with pytest.raises(ValueError):
+        expanded_terms(table(spark, schema, ("A", "B+C"), ("B", "A")))

@@ -197,3 +197,22 @@ def test_xml_round_trip_and_ticks(spark):
     assert got == [(1, 1, "a&b", Dec("2.5000")), (1, None, "c", None)]
     back = rows_to_xml(table(spark, "k int, a string, n int", (1, 'q"<', 2), (1, None, 1)), ["k"], ["a", "n"], ["n"])
     assert rows(back) == [(1, '<root><row n="1"/><row a="q&quot;&lt;" n="2"/></root>')]
+
+
+def test_null_keys_are_not_allocated(spark):
+    from tallyworks.operators.stock import allocate_fifo
+
+    schema = "id bigint, item bigint, quantity decimal(18,2)"
+    supply = table(spark, schema, (1, None, Dec(5)), (2, 1, Dec(5)))
+    demand = table(spark, schema, (8, None, Dec(5)), (9, 1, Dec(3)))
+    got = allocate_fifo(supply, demand.withColumnRenamed("id", "line"), ["item"], "id", "line", ["id"], ["line"], **CUT)
+    assert [(r.item, r.id, r.line, int(r.allocated)) for r in got.collect()] == [(1, 2, 9, 3)]
+
+
+def test_document_numbers_beyond_six_digits(spark):
+    from tallyworks.operators.documents import document_numbers
+
+    heads = table(spark, "order_item_id bigint, source_row_id string", *[(i, str(i)) for i in range(11)])
+    taken = table(spark, "doc_no string", ("LRX/01/25-999995",), ("LRX/02/25-000100",))
+    got = sorted(r.doc_no for r in document_numbers(heads, taken, "X", 1, 2025).collect())
+    assert len(set(got)) == 11 and "LRX/01/25-999996" in got and "LRX/01/25-1000006" in got

@@ -68,3 +68,22 @@ def test_session_windows(spark):
     df = table(spark, "u int, ts timestamp", (1, T(2025, 1, 1, 8)), (1, T(2025, 1, 1, 8, 20)), (1, T(2025, 1, 1, 9)), (2, T(2025, 1, 1, 8)))
     got = streaming.session_windows(df, "u", "ts")
     assert sorted((r.u, r.first_ts, r.event_count) for r in got.collect()) == [(1, T(2025, 1, 1, 8), 2), (1, T(2025, 1, 1, 9), 1), (2, T(2025, 1, 1, 8), 1)]
+
+
+def test_rolls_are_refused_for_ever_and_late_scans_count(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    lines = table(spark, "id bigint, item_id bigint, quantity decimal(18,2), builtin_order int", (1, 7, Dec(50), 1))
+
+    def run():
+        stream = spark.readStream.schema(SCAN).parquet(source)
+        streaming.scan_stream(stream, lambda: lines, out, check).awaitTermination()
+
+    write(spark, source, SCAN, ("A", 7, Dec(4), T(2025, 1, 1)))
+    run()
+    write(spark, source, SCAN, ("B", 7, Dec(4), T(2025, 1, 6)), ("A", 7, Dec(4), T(2025, 1, 6)))
+    run()
+    write(spark, source, SCAN, ("L", 7, Dec(4), T(2025, 1, 2)), (None, 7, Dec(4), T(2025, 1, 2)))
+    run()
+    assert sorted(r.roll_code for r in spark.read.parquet(out).collect()) == ["A", "B", "L"]
+    refused = sorted((r.reason, r.roll_code) for r in spark.read.parquet(f"{out}-refused").collect())
+    assert refused == [("already scanned", "A"), ("no roll code", None)]
