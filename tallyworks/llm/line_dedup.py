@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import saved, texts_of
 from tallyworks.llm.components import connected_components, forest
+from tallyworks.llm.line_sets import Lines, Powers, by_rarity, line_sets
 
 THRESHOLD = 0.8
 #: Counters of the rarity sketch, a table of fixed size. Tokens share counters, which only changes
@@ -21,61 +21,27 @@ CHUNK = 1 << 12
 #: A token whose counter is above this is compared in tiles of two blocks of about as many lines.
 BLOCK = 8_192
 #: Lines of a component that are verified against each other at a time.
-VERIFY = 2_048
+VERIFY = 512
 #: Bits of the membership filter for lines with candidates; false hits are joined away.
 FILTER_BITS = 23
 LAST = (1 << 63) - 1
 
 
-class Hashes(dict):
-    """64-bit hash of each word, kept for a while."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def text_key(text: str) -> int:
-    """The same as Spark's ``xxhash64``."""
-    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def line_sets(text: str, hashes: Hashes) -> Iterator[tuple[int, list[int]]]:
-    """Number and distinct token hashes of every line with a token."""
-    for number, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
-        words = set(line.split())
-        if words:
-            yield number, [hashes[w] for w in words]
-
-
-def class_of(tokens: list[int]) -> int:
-    """A hash of the token set, whatever the order."""
-    return (sum(tokens) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
-
-
 def occurrences(docs: DataFrame) -> DataFrame:
     """One scan, two kinds of rows: each line with tokens (doc_id, text_key, line, class) and, at
     the end of a task, its token counts in chunks (chunk, counts)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = Hashes(), np.zeros(1 << SKETCH_BITS, np.int64)
+        powers, counts = Powers(), np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                ids, keys, lines, classes, tokens = [], [], [], [], []
-                part = batch.slice(low, 512)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    key = text_key(text)
-                    for number, own in line_sets(text, hashes):
-                        ids.append(doc_id)
-                        keys.append(key)
-                        lines.append(number)
-                        classes.append(class_of(own))
-                        tokens += own
-                counts += np.bincount(np.array(tokens, np.uint64) >> np.uint64(64 - SKETCH_BITS), minlength=len(counts))
-                yield _batch(OCCURRENCE, [ids, keys, lines, classes, [None] * len(ids), [None] * len(ids)])
+            for lines in line_sets(batch.column(2), powers):
+                counts += np.bincount((lines.tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+                row, empty = pa.array(lines.row), pa.nulls(len(lines.row))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number.astype(np.int32)), pa.array(lines.classes()),
+                     empty.cast(pa.int32()), empty.cast(pa.list_(pa.int64()))],
+                    names=[n for n, _ in OCCURRENCE],
+                )
         used = [c for c in range(0, len(counts), CHUNK) if counts[c : c + CHUNK].any()]
         rows = [counts[c : c + CHUNK] for c in used]
         yield _batch(OCCURRENCE, [*[[None] * len(used)] * 4, [c // CHUNK for c in used], rows])
@@ -147,34 +113,31 @@ def prefix_entries(docs: DataFrame, counts, buckets: int, threshold: float) -> D
     blocks and sent to each tile of two blocks that theirs is in."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rarity = Hashes(), counts.value
+        powers, rarity = Powers(), counts.value
         seen: set[int] = set()
         for batch in batches:
-            classes, tokens, sizes = [], [], []
-            for text in batch.column(1).to_pylist():
-                for _, own in line_sets(text, hashes):
-                    known = class_of(own)
+            for lines in line_sets(batch.column(2), powers):
+                classes = lines.classes()
+                fresh = np.zeros(len(classes), bool)
+                for i, known in enumerate(classes.tolist()):
                     if known not in seen:
                         seen.add(known)
-                        classes.append(known)
-                        tokens += own
-                        sizes.append(len(own))
-            if classes:
-                yield from _entries(np.array(classes), np.array(tokens, np.uint64), np.array(sizes), rarity, buckets, threshold)
+                        fresh[i] = True
+                if fresh.any():
+                    yield from _entries(classes[fresh], lines.only(fresh), rarity, buckets, threshold)
 
     return docs.mapInArrow(scan, LIST_SCHEMA)
 
 
-def _entries(classes, tokens, sizes, rarity, buckets, threshold) -> Iterator[pa.RecordBatch]:
-    starts = np.cumsum(sizes) - sizes
+def _entries(classes, lines: Lines, rarity, buckets, threshold) -> Iterator[pa.RecordBatch]:
+    sizes, starts = lines.sizes, lines.starts
+    p, q = parity(lines.tokens, starts)
+    token, count = by_rarity(lines, rarity[(lines.tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64))
     line = np.repeat(np.arange(len(sizes)), sizes)
-    p, q = parity(tokens, starts)
-    count = rarity[tokens >> np.uint64(64 - SKETCH_BITS)]
-    order = np.lexsort((tokens, count, line))
-    at = np.arange(len(tokens)) - np.repeat(starts, sizes)
+    at = np.arange(len(token)) - np.repeat(starts, sizes)
     length = sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
     kept = at < length[line]
-    token, count, line, at = tokens[order][kept], count[order][kept].astype(np.int64), line[kept], at[kept]
+    token, count, line, at = token[kept], count[kept], line[kept], at[kept]
     blocks = -(-count // BLOCK)
     copies = np.where(blocks > 1, blocks, 1)
     entry = np.repeat(np.arange(len(token)), copies)
@@ -257,10 +220,10 @@ def _candidates(token, tile, side, known, n, at, p, q, threshold):
 
 
 def member_tokens(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """class and tokens of the lines that have a candidate. A filter of fixed size drops most other
+    """class and tokens of the lines that have a candidate A filter of fixed size drops most other
     lines in the scan; the caller's join drops the rest."""
     bits = (
-        members.select(F.shiftrightunsigned(F.xxhash64("class"), 64 - FILTER_BITS).alias("at"))
+        members.select(F.shiftrightunsigned("class", 64 - FILTER_BITS).alias("at"))
         .groupBy(F.shiftright("at", 6).alias("word"))
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int"))).alias("bits"))
     )
@@ -270,19 +233,20 @@ def member_tokens(docs: DataFrame, members: DataFrame) -> DataFrame:
     filled = members.sparkSession.sparkContext.broadcast(words.view(np.uint64))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, table = Hashes(), set(), filled.value
-        digest = xxhash.xxh64_intdigest
+        powers, seen = Powers(), set()
+        flags = np.unpackbits(filled.value.view(np.uint8), bitorder="little")
         for batch in batches:
-            classes, sets = [], []
-            for text in batch.column(1).to_pylist():
-                for _, own in line_sets(text, hashes):
-                    known = class_of(own)
-                    at = digest(known.to_bytes(8, "little", signed=True), 42) >> (64 - FILTER_BITS)
-                    if known not in seen and int(table[at >> 6]) >> (at & 63) & 1:
-                        seen.add(known)
-                        classes.append(known)
-                        sets.append(np.array(own, np.uint64).view(np.int64))
-            yield _batch([("class", pa.int64()), ("tokens", pa.list_(pa.int64()))], [classes, sets])
+            for lines in line_sets(batch.column(2), powers):
+                classes = lines.classes()
+                keep = flags[(classes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] > 0
+                for i in np.flatnonzero(keep).tolist():
+                    keep[i] = classes[i] not in seen
+                    seen.add(classes[i])
+                lines = lines.only(keep)
+                tokens = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(lines.sizes)).astype(np.int32)), pa.array(lines.tokens.view(np.int64))
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(classes[keep]), tokens], names=["class", "tokens"])
 
     return docs.mapInArrow(scan, "class long, tokens array<long>").groupBy("class").agg(F.first("tokens").alias("tokens"))
 
@@ -360,23 +324,23 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
     Lines without tokens stay. A null text stays null, an empty one empty. Repeated rows (same id,
     same text) are one document and keep the same lines; a null id comes last. Empty tables give no
     rows. Long texts and lines are used whole."""
-    texts = texts_of(docs, id_col, text_col)
+    texts = texts_of(docs, id_col, text_col).select("doc_id", text_key_of(F.col("text")).alias("text_key"), "text")
     found = saved(occurrences(texts), "line-occurrences")
     counts = docs.sparkSession.sparkContext.broadcast(sketch(found))
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = prefix_entries(texts, counts, buckets, threshold)
     links = saved(candidate_links(entries, buckets, threshold), "line-candidates")
     parts = saved(connected_components(links, "a", "b"), "line-candidate-components")
-    members = saved(
+    members = (
         parts.select(F.col("node").alias("class"), "component")
         .unionByName(parts.select(F.col("component").alias("class"), "component"))
-        .distinct(),
-        "line-members",
+        .distinct()
     )
     lines = found.filter(F.col("class").isNotNull()).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text_key", "line", "class")
     place = F.struct("doc_id", "text_key", "line")
     firsts = saved(lines.groupBy("class").agg(F.min(place).alias("rank"), F.countDistinct(place).alias("copies")), "line-classes")
-    joined = member_tokens(texts, members).join(members, "class").join(firsts, "class")
+    members = saved(members.join(firsts, "class"), "line-members")
+    joined = saved(member_tokens(texts, members).join(members, "class"), "line-member-tokens")
     checked = saved(verified(joined, threshold), "line-links")
     classes = saved(firsts.join(checked, "class", "left").select(
         F.col("class").alias("__class"), "rank", "copies", F.coalesce("n_links", F.lit(0)).alias("n"), F.coalesce("has_earlier", F.lit(False)).alias("earlier")
