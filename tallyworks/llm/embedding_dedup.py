@@ -18,6 +18,8 @@ THRESHOLD = 0.95
 #: Reference points, and the sample they are picked from so that they lie far apart.
 PIVOTS = 256
 SAMPLE = 2_048
+#: No two pivots have a larger cosine: near copies rank pivots alike only where those are far apart.
+APART = 0.7
 #: Nearest pivots that describe a vector, and how many of them a pair must share.
 NEAREST = 6
 SHARED = 2
@@ -32,7 +34,7 @@ def spread_pivots(vectors: np.ndarray, count: int = PIVOTS) -> np.ndarray:
     chosen, nearest = [0], vectors @ vectors[0]
     while len(chosen) < min(count, len(vectors)):
         far = int(np.argmin(nearest))
-        if nearest[far] > 1 - 1e-9:
+        if nearest[far] > APART:
             break
         chosen.append(far)
         nearest = np.maximum(nearest, vectors @ vectors[far])
