@@ -248,7 +248,9 @@ class Tagger:
                 grad[f"w{d}"] += p["e"][codes[t]].T @ da
                 np.add.at(grad["e"], codes[t], da @ p[f"w{d}"].T)
                 dh, dc = da @ p[f"u{d}"].T, dc * f
-        loss = z.sum() - sum((emit[t, lane, tags[t]] * live[t]).sum() for t in range(steps))
+        gold = first[tags[0]].sum() + sum((emit[t, lane, tags[t]] * live[t]).sum() for t in range(steps))
+        gold += sum((trans[tags[t - 1], tags[t]] * live[t]).sum() for t in range(1, steps))
+        loss = z.sum() - gold
         return grad, loss
 
     def single(self) -> Tagger:

@@ -180,6 +180,7 @@ def train(
         .agg(F.min("__label").alias("low"), F.max("__label").alias("high"))
         .filter("low = high")
     )
+    describe = F.pandas_udf(lambda texts: texts.map(features), "array<double>")
     described = sample.select("doc_id", describe("text").alias("x"))
     taken = (
         described.join(truth, F.col("doc_id") == F.col("__id"), "left")
@@ -194,11 +195,6 @@ def train(
     return fit(x, taken["label"].to_numpy(int))
 
 
-@F.pandas_udf("array<double>")
-def describe(texts: pd.Series) -> pd.Series:
-    return texts.map(features)
-
-
 def quality_score(text: Column, model: Model) -> Column:
     """The model's probability that a text is of good quality; null counts as empty."""
 
