@@ -97,7 +97,7 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
     """Stretches around evidence, joined where they meet."""
     low = high = -1
     for m in EVIDENCE.finditer(text):
-        if m.start() - MARGIN > high:
+        if high < 0 or m.start() - MARGIN > high:
             if high >= 0:
                 yield low, high
             low = max(0, m.start() - MARGIN)
