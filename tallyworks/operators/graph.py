@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Categories of an entity that are paired with as many others at a time.
+PAIR_BLOCK = 1_000
+
 
 def category_pairs(
     df: DataFrame,
@@ -14,31 +17,35 @@ def category_pairs(
     category: str,
     min_entities: int = 3,
     names: Sequence[str] = ("category1", "category2", "entity_count"),
+    block: int = PAIR_BLOCK,
 ) -> DataFrame:
     """Category pairs that share at least ``min_entities`` entities. A category with fewer
-    entities is in no such pair and is dropped first; entities with the same set of categories
-    are counted together, so pairs are formed once per distinct set and not once per entity."""
-    held = df.select(entity, category).filter(F.col(category).isNotNull()).distinct()
+    entities is in no such pair and is dropped first. The categories of an entity are dealt to
+    blocks of about ``block`` and paired one pair of blocks at a time, so an entity with very many
+    categories is spread over tasks; counts are added up in the tasks first."""
+    first, second, count = names
+    held = df.select(entity, category).filter(F.col(category).isNotNull() & F.col(entity).isNotNull()).distinct()
     common = (
         held.groupBy(category)
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") >= min_entities)
     )
-    sets = (
-        held.join(common.select(category), category, "left_semi")
-        .groupBy(entity)
-        .agg(F.sort_array(F.collect_list(category)).alias("__set"))
-        .filter(F.size("__set") > 1)
-        .groupBy("__set")
-        .agg(F.count(F.lit(1)).alias("__weight"))
+    kept = held.join(common.select(category), category, "left_semi")
+    sizes = kept.groupBy(entity).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__blocks"))
+    own = F.pmod(F.xxhash64(category), F.col("__blocks")).cast("int")
+    dealt = kept.join(sizes, entity).withColumn("__own", own)
+    tiles = dealt.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))).select(
+        entity, category, "__own", F.least("__own", "__other").alias("__i"), F.greatest("__own", "__other").alias("__j")
+    )
+    left = tiles.filter(F.col("__own") == F.col("__i")).select(entity, "__i", "__j", F.col(category).alias("__a"))
+    right = tiles.filter(F.col("__own") == F.col("__j")).select(entity, "__i", "__j", F.col(category).alias("__b"))
+    pairs = left.join(right, [entity, "__i", "__j"]).filter(
+        (F.col("__i") < F.col("__j")) | (F.col("__a") < F.col("__b"))
     )
-    left = sets.select("__weight", "__set", F.posexplode("__set").alias("__i", names[0]))
-    rest = F.slice("__set", F.col("__i") + 2, F.size("__set"))
-    pairs = left.select("__weight", names[0], F.explode(rest).alias(names[1]))
     return (
-        pairs.groupBy(names[0], names[1])
-        .agg(F.sum("__weight").alias(names[2]))
-        .filter(F.col(names[2]) >= min_entities)
+        pairs.groupBy(F.least("__a", "__b").alias(first), F.greatest("__a", "__b").alias(second))
+        .agg(F.count(F.lit(1)).alias(count))
+        .filter(F.col(count) >= min_entities)
     )
 
 

@@ -20,6 +20,8 @@ from tallyworks.operators.temporal import map_codes
 from tallyworks.sources.sinks import save_intermediate
 
 AMOUNT = "decimal(38,4)"
+#: Definitions that a branch meets at a time where zero rows are filled in.
+ZERO_BUCKET = 1_000
 VALUE_KEYS = ("stt", "item_code", "item_name", "ma_so", "branch_code", "division_code")
 
 # Division codes and the other spellings of each; no code at all is KXD.
@@ -224,16 +226,14 @@ def unpivot_adjustments(adjustments: DataFrame, metrics: DataFrame, columns: Seq
 
 
 def zero_fill(metrics: DataFrame, branches: DataFrame, values: DataFrame) -> DataFrame:
-    """The values and a zero row for every (branch, metric) that has none. Definitions are few, so
-    every branch is given the list of them and unfolds it; nothing but the branches is shuffled
-    for that."""
-    defined = F.array_sort(
-        F.collect_list(F.struct("stt", "item_code", "item_name", "ma_so"))
-    )
-    listed = metrics.agg(defined.alias("d")).scalar()
-    wanted = branches.select("branch_code").distinct().select(
-        "branch_code", F.explode(listed).alias("m")
-    ).select("m.*", "branch_code")
+    """The values and a zero row for every (branch, metric) that has none. Definitions are dealt to
+    hashed buckets of about ``ZERO_BUCKET`` and every branch meets each bucket, so no row or task
+    holds all of them."""
+    defined = metrics.select("stt", "item_code", "item_name", "ma_so")
+    buckets = max(1, -(-defined.count() // ZERO_BUCKET))
+    dealt = defined.withColumn("__bucket", F.pmod(F.xxhash64("ma_so", "stt"), F.lit(buckets)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("__bucket")
+    wanted = branches.select("branch_code").distinct().select("branch_code", every).join(dealt, "__bucket").drop("__bucket")
     missing = wanted.join(values.select("ma_so", "branch_code").distinct(), ["ma_so", "branch_code"], "left_anti")
     zeros = missing.select(
         "stt", "item_code", "item_name", "ma_so", "branch_code",

@@ -237,7 +237,7 @@ def change_log_any(t):
 @query(
     "order_year VARCHAR, o_orderpriority VARCHAR, n BIGINT, total DOUBLE",
     """SELECT CAST(year(o_orderdate) AS VARCHAR) AS order_year, o_orderpriority, count(*) AS n, sum(o_totalprice) AS total
-    FROM o WHERE year(o_orderdate) IN (1996, 1997) GROUP BY 1, 2""",
+    FROM o GROUP BY 1, 2""",
 )
 def replace_partition(t):
     path = os.path.join(scratch_dir(t.spark), f"yearly-{uuid.uuid4().hex}")
@@ -246,8 +246,8 @@ def replace_partition(t):
         .groupBy("order_year", "o_orderpriority")
         .agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
     )
-    for year in (1996, 1997, 1997):
-        write_partition(yearly, path, "order_year", year)
+    yearly.write.partitionBy("order_year").parquet(path)
+    write_partition(yearly, path, "order_year", 1997)  # the run of one year is repeated
     return t.spark.read.parquet(path)
 
 

@@ -133,12 +133,11 @@ def signed_sum(t):
 @query(
     "c_name VARCHAR, total DOUBLE",
     """SELECT c_name, coalesce(t.total, 0) AS total FROM c LEFT JOIN
-    (SELECT o_custkey, sum(o_totalprice) AS total FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY 1) t
+    (SELECT o_custkey, sum(o_totalprice) AS total FROM o GROUP BY 1) t
     ON o_custkey = c_custkey""",
 )
 def total_with_zero(t):
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
-    return rates.total_with_zero(t.customer, urgent, "c_custkey", "o_custkey", "o_totalprice")
+    return rates.total_with_zero(t.customer, t.orders, "c_custkey", "o_custkey", "o_totalprice")
 
 
 @query(

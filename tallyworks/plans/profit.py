@@ -227,7 +227,7 @@ def formula_metrics(t):
 
 def adjustment_rows(t):
     """Wide manual amounts per branch: one column per division."""
-    return owned_orders(t).filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("date")).groupBy(
+    return owned_orders(t).groupBy(
         branch().alias("branch_code")
     ).agg(
         F.sum(F.when(F.col("c_mktsegment") == "BUILDING", F.col("o_totalprice"))).alias("INDIV"),
@@ -243,7 +243,7 @@ def adjustment_rows(t):
     VALUE,
     """SELECT 4 AS stt, 'A4' AS ma_so, 'VN0010' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS branch_code,
       CASE c_mktsegment WHEN 'BUILDING' THEN 'INDIV' ELSE 'FI' END AS division_code, sum(o_totalprice) AS amount
-    FROM o JOIN c ON c_custkey = o_custkey WHERE o_orderdate >= DATE '2001-01-01' AND c_mktsegment IN ('BUILDING', 'HOUSEHOLD') GROUP BY 3, 4""",
+    FROM o JOIN c ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD') GROUP BY 3, 4""",
 )
 def unpivot_adjustments(t):
     return profit.unpivot_adjustments(adjustment_rows(t), definitions(t), ["INDIV", "FI", "SMEs"])

@@ -33,17 +33,14 @@ def xml_rows(t):
 
 
 @query(
-    "c_nationkey BIGINT, xml VARCHAR",
-    """SELECT c_nationkey, '<root>' || string_agg('<row DocDate="' || o_orderdate || '" Stt="' || o_orderkey || '"/>', '' ORDER BY o_orderkey) || '</root>' AS xml
-    FROM o JOIN c ON c_custkey = o_custkey WHERE o_orderdate >= DATE '2001-06-01' GROUP BY 1""",
+    "o_custkey BIGINT, xml VARCHAR",
+    """SELECT o_custkey, '<root>' || string_agg('<row DocDate="' || o_orderdate || '" Stt="' || o_orderkey || '"/>', '' ORDER BY o_orderkey) || '</root>' AS xml
+    FROM o GROUP BY 1""",
 )
 def documents_to_xml(t):
-    heads = (
-        t.orders.filter(F.col("o_orderdate") >= F.lit("2001-06-01").cast("date"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("c_nationkey", F.col("o_orderdate").alias("DocDate"), F.col("o_orderkey").alias("Stt"))
-    )
-    return rows_to_xml(heads, ["c_nationkey"], ["DocDate", "Stt"], ["Stt"])
+    # One text per customer: its size does not grow with the number of customers.
+    heads = t.orders.select("o_custkey", F.col("o_orderdate").alias("DocDate"), F.col("o_orderkey").alias("Stt"))
+    return rows_to_xml(heads, ["o_custkey"], ["DocDate", "Stt"], ["Stt"])
 
 
 def roll(part="l_partkey"):
