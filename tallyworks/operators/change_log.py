@@ -84,3 +84,39 @@ def append_day(
         return
     changed = change_log_append(log, dated, key, hash, day, as_of, compare)
     replace_partition(changed, path, day, as_of)
+
+
+def append_day_to_latest(
+    spark: SparkSession,
+    path: str,
+    latest_path: str,
+    snapshot: DataFrame,
+    key: Sequence[str],
+    as_of,
+    hash: str = "row_hash",
+    day: str = "fk_date",
+) -> None:
+    """Write the changed rows of a day to the log, comparing with the newest state of every key
+    only. The state after each day is a version of its own in ``latest_path``; a day that runs
+    again reads the version before it and writes the same rows again. The log is not read."""
+    dated = snapshot.withColumn(day, F.lit(as_of).cast("date"))
+    columns = [*key, hash, day]
+    before = _version_before(spark, latest_path, dated.select(*columns), as_of)
+    replace_partition(_not_in(dated, before, [*key, hash]), path, day, as_of)
+    written = spark.read.schema(dated.drop(day).schema).parquet(f"{path}/{day}={as_of}")
+    written = written.withColumn(day, F.lit(as_of).cast("date"))
+    state = refresh_latest(before, written, key, hash, day).withColumn("version", F.lit(str(as_of)))
+    replace_partition(state, latest_path, "version", str(as_of))
+
+
+def _version_before(spark: SparkSession, path: str, like: DataFrame, as_of) -> DataFrame:
+    try:
+        versions = spark.read.schema(like.withColumn("version", F.lit("")).schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0)
+    newest = versions.filter(F.col("version") < str(as_of)).agg(F.max("version")).first()[0]
+    if newest is None:
+        return like.limit(0)
+    return versions.filter(F.col("version") == newest).drop("version")

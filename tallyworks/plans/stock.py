@@ -218,6 +218,20 @@ def unmatched_supply(t):
     return stock.unmatched_supply(supply, request_lines(t))
 
 
+@query(
+    "id BIGINT, item_id BIGINT, quantity DOUBLE",
+    f"""WITH {LINES_SQL}, n AS (SELECT l_partkey * 2 AS i, sum(l_quantity) AS q FROM l WHERE l_returnflag = 'R' GROUP BY 1)
+    SELECT -(row_number() OVER (ORDER BY i) + (SELECT max(id) FROM ln)) AS id, i AS item_id, q AS quantity
+    FROM n WHERE NOT EXISTS (SELECT 1 FROM ln WHERE item_id = i)""",
+)
+def unmatched_receipts(t):
+    # A receipt opens a line where no request line has the item, in whatever warehouse.
+    supply = t.lineitem.filter(F.col("l_returnflag") == "R").groupBy((F.col("l_partkey") * 2).alias("item_id")).agg(
+        F.sum("l_quantity").alias("quantity")
+    ).withColumns({"warehouse_id": F.lit(1).cast("bigint"), "roll_code": F.concat(F.lit("R"), "item_id")})
+    return stock.unmatched_supply(supply, request_lines(t), stock.RECEIPT)
+
+
 @query(
     "o_orderkey BIGINT, id BIGINT",
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) + (SELECT max(c_custkey) FROM c) AS id FROM o",

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyworks import streaming
-from tallyworks.operators.change_log import with_fingerprint
+from tallyworks.operators.change_log import append_day_to_latest, with_fingerprint
 from tallyworks.plans.registry import query
 from tallyworks.sources import save_intermediate, scratch_dir
 from tallyworks.sources.tables import SCHEMAS
@@ -111,3 +111,22 @@ def change_log_stream(t):
     )
     job.awaitTermination()
     return t.spark.read.parquet(path)
+
+
+@query(
+    "o_custkey BIGINT, fk_date VARCHAR, order_count BIGINT",
+    """WITH d(day) AS (VALUES (DATE '1997-01-01'), (DATE '1997-02-01'), (DATE '1997-03-01')),
+    st AS (SELECT o_custkey, day, count(*) AS n FROM o, d WHERE o_orderdate <= day GROUP BY 1, 2)
+    SELECT o_custkey, day AS fk_date, n AS order_count FROM st
+    QUALIFY n IS DISTINCT FROM lag(n) OVER (PARTITION BY o_custkey ORDER BY day)""",
+)
+def change_log_daily(t):
+    # Three daily runs and a second run of the second day, each against the newest states only.
+    path, latest = folder(t, "daily-log"), folder(t, "daily-latest")
+    for day in ("1997-01-01", "1997-02-01", "1997-03-01", "1997-02-01"):
+        counted = t.orders.filter(F.col("o_orderdate") <= F.lit(day).cast("date")).groupBy("o_custkey").agg(
+            F.count("*").alias("order_count")
+        )
+        snapshot = with_fingerprint(counted, ["o_custkey", "order_count"])
+        append_day_to_latest(t.spark, path, latest, snapshot, ["o_custkey"], day)
+    return t.spark.read.parquet(path)
