@@ -213,11 +213,11 @@ def claim_snapshot(sources: Mapping[str, DataFrame], as_of, **options) -> DataFr
         F.col("created_date").alias("call_date"),
     )
     wide = patch_from(wide, calls, ["manage_unit_code", "call_center_id"], ["call_date"], "call_date")
-    for source, names in (
-        ("garage_payments", ("garage_payment_amt", "garage_payment_date")),
-        ("customer_payments", ("customer_payment_amt", "customer_payment_date")),
+    for source, date, names in (
+        ("garage_payments", "system_date", ("garage_payment_amt", "garage_payment_date")),
+        ("customer_payments", "created_date", ("customer_payment_amt", "customer_payment_date")),
     ):
-        paid = payment_rollup(sources[source], claim, "amount_lcy", "system_date", as_of, names)
+        paid = payment_rollup(sources[source], claim, "amount_lcy", date, as_of, names)
         wide = wide.join(paid, claim, "left")
     wide = wide.withColumn(
         "certificate_effective_date",

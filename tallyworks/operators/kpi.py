@@ -109,7 +109,8 @@ def working_seconds(
     df: DataFrame, start: str, end: str, calendar: DataFrame, name: str = "working_seconds", **options
 ) -> DataFrame:
     """Business seconds between two timestamps. The calendar gets a running total of seconds, so
-    each row needs one look-up per end and no walk over the days between."""
+    each row needs one look-up per end and no walk over the days between. A day that the calendar
+    does not have is an error, not a time of zero; a NULL timestamp gives NULL."""
     totals = ordered_scan(calendar, ["day"], running={"__through": "length"}, **options)
     placed = broadcast_if_small(
         totals.withColumn("__before", F.col("__through") - F.col("length"))
@@ -128,7 +129,13 @@ def working_seconds(
         .join(placed.alias("b"), F.to_date(F.col(f"r.{end}")) == F.col("b.day"), "left")
     )
     seconds = position(f"r.{end}", "b") - position(f"r.{start}", "a")
-    return joined.select("r.*", F.greatest(seconds, seconds * 0).cast("bigint").alias(name))
+    outside = (F.col(f"r.{start}").isNotNull() & F.col("a.day").isNull()) | (
+        F.col(f"r.{end}").isNotNull() & F.col("b.day").isNull()
+    )
+    result = F.when(outside, F.raise_error(F.lit("a timestamp is outside the business calendar"))).otherwise(
+        F.greatest(seconds, seconds * 0).cast("bigint")
+    )
+    return joined.select("r.*", result.alias(name))
 
 
 # Seconds allowed by claim amount, (upper bound, bound included, seconds).

@@ -411,7 +411,8 @@ def claim_sources(t) -> dict:
             F.max("o_orderdate").alias("created_date"), F.lit(1).alias("valid")
         ),
         "garage_payments": lines.filter((flag == "R") & (status == "O")).select(*money, *dated),
-        "customer_payments": lines.filter((flag == "R") & (status == "F")).select(*money, *dated),
+        "customer_payments": lines.filter((flag == "R") & (status == "F")).select(*money, *dated)
+        .withColumnRenamed("system_date", "created_date"),
     }
 
 
