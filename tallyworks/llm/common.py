@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Separators of words: white space of ASCII. ``bytes.split()`` cuts at the same bytes.
-SPACE = r"[\x20\x09-\x0D]+"
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session's ``spark.checkpoint.dir``. Only a local master, as in
-    tests, may leave it unset; it then gets a folder of its own."""
+    tests, may leave it unset; the application then gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        if spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root is not None:
+        return root
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
+    return _OWN_FOLDERS[context.applicationId]
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -66,13 +63,4 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
-def word_starts(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of word bytes. ``is_word`` is a table of 256 flags."""
-    flags = np.zeros(len(data) + 2, np.int8)
-    flags[1:-1] = is_word[data]
-    edges = np.diff(flags)
-    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-
-
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
