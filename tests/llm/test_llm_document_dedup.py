@@ -1,0 +1,79 @@
+"""Near-duplicate documents of the pipeline against brute-force Jaccard of five-word shingles."""
+
+import numpy as np
+import pytest
+from llm_cases import empty, messy
+from test_llm_duplicates import roots
+
+import corpus_pipeline
+from tallyworks.llm import document_dedup
+from tallyworks.llm.document_dedup import distinct_documents
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def first_of_each(rows):
+    sets = [shingles(t) for _, t in rows]
+    pairs = [
+        (a, b) for a in range(len(rows)) for b in range(a)
+        if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+    ]
+    root = roots(pairs, range(len(rows)))
+    return {rows[k][0] for k in range(len(rows)) if root[k] == k}
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for at in rng.choice(len(words), n, replace=False):
+        words[at] = f"new{rng.integers(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies_against_brute_force(spark, data_dir):
+    rng = np.random.default_rng(6)
+    texts = []
+    for _ in range(60):
+        words = [f"w{k}" for k in rng.zipf(1.3, rng.integers(6, 300)) % 5_000]
+        texts += [" ".join(words)] + [edited(rng, words, min(len(words), int(k))) for k in (1, 2, 4, rng.integers(0, 12))]
+    passage = " ".join(f"common{k}" for k in range(40))
+    texts += [f"{passage} " + " ".join(f"u{i}x{k}" for k in range(60)) for i in range(40)]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
+    rows.sort()
+    want = first_of_each(rows)
+    assert len(want) < len(rows) - 60
+    docs = messy(spark, rows)
+    assert {r.doc_id for r in distinct_documents(docs, block=7).collect()} == want
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, data_dir).collect()} == want
+
+
+def test_bands_find_pairs_at_the_threshold():
+    rng = np.random.default_rng(1)
+    for n in (9, 90, 900):  # n of n + n / 4.5 * 2 shared: Jaccard about 0.82
+        missed = 0
+        for _ in range(200):
+            tokens = rng.integers(0, 2**63, n + 2 * (n // 9), dtype=np.uint64)
+            a, b = np.sort(tokens[: n + n // 9]), np.sort(np.delete(tokens, slice(n, n + n // 9)))
+            x, y = document_dedup.band_keys([a, b])
+            missed += not (x == y).any()
+        assert missed == 0
+
+
+def test_a_large_group_in_tiles(spark):
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(200)]
+    rows = [(i, edited(rng, words, 1)) for i in range(300)] + [(1_000 + i, edited(rng, words, 14)) for i in range(60)]
+    got = distinct_documents(messy(spark, rows), block=32)
+    assert {r.doc_id for r in got.collect()} == first_of_each(rows)
+
+
+@pytest.mark.parametrize("stage", [distinct_documents, lambda docs: corpus_pipeline.near_dedup(docs.sparkSession, docs, "")])
+def test_rows_are_known_by_id_and_text(spark, stage):
+    one, two, three = (" ".join(f"{w}{k}" for k in range(20)) for w in "abc")
+    rows = [(1, one), (1, two), (1, one), (None, two), (None, three), (None, three), (2, one.upper()), (3, None), (4, " ")]
+    docs = messy(spark, rows)
+    got = stage(docs)
+    assert sorted(((r.doc_id or 0, r.text) for r in got.collect()), key=str) == sorted([(1, one), (1, two), (0, three), (3, None)], key=str)
+    assert got.columns == docs.columns and stage(empty(spark)).count() == 0
