@@ -133,7 +133,10 @@ def contaminated(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT, **names) -> DataFrame:
-    """The documents that hold no item; rows with a null id stay."""
-    id_col = names.get("id_col", "doc_id")
-    bad = contaminated(docs, items, threshold, **names).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(small(saved(bad, "contaminated")), F.col(f"`{id_col}`") == F.col("__bad"), "left_anti")
+    """The documents that hold no item. A row is known by its id and text: rows of one id are judged
+    apart, null ids like others."""
+    row = F.xxhash64(F.col(f"`{names.get('id_col', 'doc_id')}`"), F.coalesce(F.col(f"`{names.get('text_col', 'text')}`"), F.lit("")))
+    keyed = docs.withColumn("__row", row)
+    bad = contaminated(keyed, items, threshold, **names | {"id_col": "__row"}).select(F.col("doc_id").alias("__bad")).distinct()
+    kept = keyed.join(small(saved(bad, "contaminated")), F.col("__row") == F.col("__bad"), "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

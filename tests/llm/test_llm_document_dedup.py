@@ -7,6 +7,7 @@ from test_llm_duplicates import roots
 
 import corpus_pipeline
 from tallyworks.llm import document_dedup
+from tallyworks.llm.decontamination import without_contaminated
 from tallyworks.llm.document_dedup import distinct_documents
 
 
@@ -77,3 +78,13 @@ def test_rows_are_known_by_id_and_text(spark, stage):
     got = stage(docs)
     assert sorted(((r.doc_id or 0, r.text) for r in got.collect()), key=str) == sorted([(1, one), (1, two), (0, three), (3, None)], key=str)
     assert got.columns == docs.columns and stage(empty(spark)).count() == 0
+
+
+def test_passages_under_null_and_repeated_ids_go(spark):
+    passage = " ".join(f"item{k}" for k in range(12))
+    rows = [(1, f"x {passage} y"), (1, "plain text"), (None, f"z {passage}"), (None, "other text"), (None, None), (2, "more")]
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    docs = messy(spark, rows)
+    got = without_contaminated(docs, items)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([rows[1], *rows[3:]], key=str)
+    assert got.columns == docs.columns and without_contaminated(empty(spark), items).count() == 0
