@@ -18,6 +18,7 @@ from tallyworks.llm.pii import find_pii
 from tallyworks.llm.quality import score_quality
 from tallyworks.llm.simhash import near_duplicates
 from tallyworks.llm.url_filter import host_of, judge_urls
+from tallyworks.llm.word_bpe import encoded
 
 URL_RULES = (
     ("allow", "org", "/"),
@@ -140,6 +141,12 @@ SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_shingles, CAST(count(*) AS INTEG
 FROM du JOIN iu USING (sh) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 * n
 """
 
+
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as digests."""
+    return encoded(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -151,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_word_bpe": op11_word_bpe,
 }
 
 SQL: dict[str, str] = {
