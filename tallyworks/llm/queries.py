@@ -16,7 +16,9 @@ from tallyworks.llm.line_dedup import dedup_lines
 from tallyworks.llm.packing import packed
 from tallyworks.llm.pii import find_pii
 from tallyworks.llm.quality import score_quality
+from tallyworks.llm.ranked_search import ranked_search
 from tallyworks.llm.simhash import near_duplicates
+from tallyworks.llm.spelling import spelling_variants
 from tallyworks.llm.url_filter import host_of, judge_urls
 from tallyworks.llm.word_bpe import encoded
 
@@ -147,6 +149,39 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of all words of the documents."""
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+n AS (SELECT doc_id, t, len(t) AS n FROM d WHERE len(t) > 0),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM n)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term),
+g AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n.n * s.docs) // s.total))) AS gain
+  FROM tf JOIN w USING (term) JOIN n USING (doc_id), s),
+r AS (SELECT item_id, doc_id, sum(gain)::BIGINT AS score FROM q JOIN g USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -159,10 +194,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_license_scan": op10_license_scan,
     "op11_word_bpe": op11_word_bpe,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 SQL: dict[str, str] = {
     "op6_decontamination": OP6_SQL,
     "op8_url_filter": OP8_SQL,
     "op9_embedding_dedup": OP9_SQL,
+    "op13_ranked_search": OP13_SQL,
 }

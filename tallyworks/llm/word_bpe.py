@@ -25,9 +25,9 @@ from tallyworks.llm.packing import _byte_letters
 LAST = 256
 SYMBOLS = 512
 #: Characters of a text that are taken at a time (a piece ends before white space).
-PIECE = 1 << 18
+PIECE = 1 << 20
 #: Words that a task remembers, and the longest of them. All are forgotten at once when there are more.
-KNOWN, REMEMBER = 300_000, 40
+KNOWN, REMEMBER = 500_000, 40
 #: Bytes of a word up to which words are merged together, one rule of each at a time.
 TOGETHER = 64
 #: A rank that no rule has.
@@ -35,6 +35,12 @@ NEVER = np.int32(2**31 - 1)
 
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{SPACE}a-z0-9]+")
+#: The same for texts of Latin letters and common signs, all letters and numbers of which are named here.
+LATIN_WORDS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    rf"|[^{SPACE}a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xc0-\xd6\xd8-\xf6\xf8-\u024f]+"
+)
+BEYOND_LATIN = re.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
 ALL_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 #: Letters and marks on whose classes and lower case all Unicode versions in use agree; texts with
 #: others are cut into words by the library's own normalizer and pattern.
@@ -58,7 +64,8 @@ class Words:
         if UNUSUAL.search(text):
             return [self._plain(w) for w, _ in self.cutter.pre_tokenize_str(self.normal.normalize_str(text))]
         # Letter by letter: no rule for a sigma that ends a word.
-        return ALL_WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        lower = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return (ALL_WORDS if BEYOND_LATIN.search(lower) else LATIN_WORDS).findall(lower)
 
     def _plain(self, word: str) -> str:
         return bytes(self.letters[c] for c in word).decode("utf-8")
@@ -251,33 +258,35 @@ class Tables:
                 heapq.heappush(queue, (r, h))
         return [t for t in tokens if t >= 0]
 
-    def merged(self, symbols: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
-        """Token ids of many words by the merge rules, a rule of each word at a time."""
-        out: list[list[int]] = [[]] * len(sizes)
-        word, tokens = np.repeat(np.arange(len(sizes)), sizes), self.base[symbols].astype(np.int64)
+    def merged(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Many words by the merge rules, one rule of each word at a time: the token at its first
+        symbol, -1 elsewhere."""
+        out = np.full(len(symbols), -1, np.int64)
+        word, place, tokens = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(symbols)), self.base[symbols].astype(np.int64)
         while len(word):
             inside = np.append(word[1:] == word[:-1], False)
             rank = np.where(inside, self.rank_at[self.pair_at(tokens * self.size + np.append(tokens[1:], 0))], NEVER)
-            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            starts = np.flatnonzero(np.append(True, ~inside[:-1]))
             lengths = np.diff(np.append(starts, len(word)))
-            best = np.minimum.reduceat(rank, starts)
-            done = best == NEVER
-            ends = starts + lengths
-            for w, low, high in zip(word[starts[done]].tolist(), starts[done].tolist(), ends[done].tolist()):
-                out[w] = tokens[low:high].tolist()
-            going = np.repeat(~done, lengths)
-            hit = np.flatnonzero((rank == np.repeat(best, lengths)) & going)
+            best = np.repeat(np.minimum.reduceat(rank, starts), lengths)
+            going = best < NEVER
+            if not going.all():
+                done = ~going
+                out[place[done]] = tokens[done]
+            hit = np.flatnonzero((rank == best) & going)
             # Of hits side by side, as in a run of one letter, every other one from the left.
-            new = np.append(True, np.diff(hit) > 1)[: len(hit)]
-            run = np.maximum.accumulate(np.where(new, np.arange(len(hit)), 0)) if len(hit) else hit
-            hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
+            beside = np.flatnonzero(np.diff(hit) == 1)
+            if len(beside):
+                new = np.append(True, np.diff(hit) > 1)
+                run = np.maximum.accumulate(np.where(new, np.arange(len(hit)), 0))
+                hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
             tokens[hit] = self.joined[rank[hit]]
             going[hit + 1] = False
-            word, tokens = word[going], tokens[going]
+            word, place, tokens = word[going], place[going], tokens[going]
         return out
 
-    def encode(self, words: list[str]) -> tuple[list[list[int]], int]:
-        """Token ids of each word, and how many words had to be merged."""
+    def encode(self, words: list[str]) -> tuple[list[int], list[int], int]:
+        """Token ids of the words in a row, where each word ends in them, and how many were merged."""
         raw = [w.encode("utf-8") for w in words]
         ends = np.cumsum([len(r) for r in raw])
         starts = np.append(0, ends[:-1])
@@ -295,24 +304,37 @@ class Tables:
             while low < end:
                 taken[low] = True
                 low = int(after[low])
-        taken = taken[:-1]
-        line, stops = token[taken].astype(np.int64), np.cumsum(taken)[ends - 1]
+        ids = np.where(taken[:-1], token, -1).astype(np.int64)
+        line, stops = ids[taken[:-1]], np.cumsum(taken[:-1])[ends - 1]
         pairs, which = np.unique(line[:-1] * self.size + line[1:], return_inverse=True)
         fine = self.apart(pairs // self.size, pairs % self.size)[which] if len(pairs) else np.zeros(0, bool)
         fine[stops[:-1] - 1] = True  # between two words
         wrong = np.unique(np.searchsorted(stops, np.flatnonzero(~fine), "right"))
-        flat, cuts = line.tolist(), stops.tolist()
-        ids = [flat[low:high] for low, high in zip([0, *cuts], cuts)]
         sizes = ends[wrong] - starts[wrong]
         short = wrong[sizes <= TOGETHER]
         if len(short):
             n = ends[short] - starts[short]
             places = np.repeat(starts[short] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            for w, own in zip(short.tolist(), self.merged(symbols[places], n)):
-                ids[w] = own
+            ids[places] = self.merged(symbols[places], n)
         for w in wrong[sizes > TOGETHER].tolist():
-            ids[w] = self.merged_long(symbols[starts[w] : ends[w]].tolist())
-        return ids, len(wrong)
+            own = self.merged_long(symbols[starts[w] : ends[w]].tolist())
+            ids[starts[w] : ends[w]] = -1
+            ids[starts[w] : starts[w] + len(own)] = own
+        held = ids >= 0
+        return ids[held].tolist(), np.cumsum(held)[ends - 1].tolist(), len(wrong)
+
+
+class Known(dict):
+    """Words and their entries: ids and tokens, joined. An unknown word gets an entry to be filled."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[tuple[str, list]] = []
+
+    def __missing__(self, word: str) -> list:
+        entry = self[word] = ["", ""]
+        self.new.append((word, entry))
+        return entry
 
 
 class Encoder:
@@ -320,32 +342,29 @@ class Encoder:
 
     def __init__(self, parts: dict):
         self.tables, self.words = Tables(parts), Words(parts["cutting"])
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known = Known()
         self.parts = re.compile("(" + "|".join(map(re.escape, self.tables.special)) + ")")
         self.open: list | None = None
 
-    def entry(self, ids: list[int]) -> tuple[int, str, str]:
-        digits, names = self.tables.digits, self.tables.names
-        if len(ids) == 1:
-            return 1, digits[ids[0]], names[ids[0]]
-        return len(ids), " ".join([digits[i] for i in ids]), " ".join([names[i] for i in ids])
-
-    def learn(self, texts: list[list[str]]) -> dict[str, tuple[int, str, str]]:
-        """Entries of the words that are too long to be remembered; the others are remembered."""
-        known = self.known
-        new = set().union(*texts).difference(known)
+    def fill(self) -> None:
+        """Encode the new words together. Long ones are not remembered; all are forgotten above the bound."""
+        known, new = self.known, self.known.new
         if not new:
-            return {}
-        if len(known) + len(new) > KNOWN:
+            return
+        flat, ends, _ = self.tables.encode([w for w, _ in new])
+        digits, names = list(map(self.tables.digits.__getitem__, flat)), list(map(self.tables.names.__getitem__, flat))
+        join, low = " ".join, 0
+        for (word, entry), high in zip(new, ends):
+            if high == low + 1:
+                entry[0], entry[1] = digits[low], names[low]
+            else:
+                entry[0], entry[1] = join(digits[low:high]), join(names[low:high])
+                if len(word) > REMEMBER:
+                    del known[word]
+            low = high
+        new.clear()
+        if len(known) > KNOWN:
             known.clear()
-            new = set().union(*texts)
-        listed = list(new)
-        own = dict(zip(listed, map(self.entry, self.tables.encode(listed)[0])))
-        long = {w: e for w, e in own.items() if len(w) > REMEMBER}
-        for w in long:
-            del own[w]
-        known.update(own)
-        return long
 
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Parts of the text, and whether a part is a special token, found before all else."""
@@ -358,38 +377,33 @@ class Encoder:
 
     def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """n_tokens and the two digests of each text, read in pieces."""
-        jobs, held = [], 0
+        jobs, held, entry_of = [], 0, self.known.__getitem__
         for text in texts:
             for piece in pieces(text):
                 for part, special in self.segments(piece):
-                    jobs.append((part if special else self.words.cut(part), special))
+                    if special:
+                        jobs.append([[self.tables.digits[self.tables.special[part]], part]])
+                    else:
+                        jobs.append(list(map(entry_of, self.words.cut(part))))
                 held += len(piece)
                 if held >= PIECE:
                     yield from self._flush(jobs)
                     jobs, held = [], 0
-            jobs.append((None, False))
+            jobs.append(None)
         yield from self._flush(jobs)
 
     def _flush(self, jobs: list) -> Iterator[tuple[int, str, str]]:
-        extra = self.learn([words for words, special in jobs if words and not special])
-        known = self.known
-        for words, special in jobs:
+        self.fill()
+        for entries in jobs:
             state = self.open = self.open or [0, hashlib.sha256(), hashlib.sha256()]
-            if words is None:
+            if entries is None:
                 yield state[0], state[1].hexdigest(), state[2].hexdigest()
                 self.open = None
-                continue
-            if special:
-                entries = [self.entry([self.tables.special[words]])]
-            elif extra:
-                entries = [known.get(w) or extra[w] for w in words]
-            else:
-                entries = [known[w] for w in words]
-            if entries:
-                gap = " " if state[0] else ""
-                state[0] += sum([e[0] for e in entries])
-                state[1].update((gap + " ".join([e[1] for e in entries])).encode())
-                state[2].update((gap + " ".join([e[2] for e in entries])).encode())
+            elif entries:
+                ids, gap = " ".join([e[0] for e in entries]), " " if state[0] else ""
+                state[0] += ids.count(" ") + 1
+                state[1].update((gap + ids).encode())
+                state[2].update((gap + " ".join([e[1] for e in entries])).encode())
 
 
 def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
