@@ -13,7 +13,7 @@ from tallyworks.operators.ordering import ordered_concat as join_in_order
 from tallyworks.operators.ordering import ordered_scan
 from tallyworks.plans.registry import query
 from tallyworks.sources import replace_partition as write_partition
-from tallyworks.sources import scratch_dir
+from tallyworks.sources import save_intermediate, scratch_dir
 
 AS_OF = "1998-12-31"
 
@@ -321,15 +321,21 @@ def claim_sources(t) -> dict:
         (key % 25).alias("claim_detail_status"),
         (key % 500).alias("call_center_id"),
         F.col("o_orderdate").alias("system_date"),
+        F.date_sub("o_orderdate", 3).alias("incident_date"),
+        F.when(key % 5 > 0, F.concat(F.lit("K"), key % 50)).alias("garage_code"),
+        F.when(key % 7 > 0, F.concat(F.lit("L|"), key)).alias("license_plate"),
+        F.concat(F.lit("T"), key % 9).alias("tier1_checker_user"),
         F.when(F.col("o_orderstatus") == "F", F.date_add("o_orderdate", 30))
         .otherwise(day(temporal.OPEN_DATE))
         .alias("claim_approved_date"),
         F.col("o_orderdate").alias("eff_date"),
         day(temporal.OPEN_DATE).alias("end_date"),
     )
-    lines = t.lineitem.join(
-        owned.select(key.alias("l_orderkey"), unit), "l_orderkey"
-    ).withColumnRenamed("l_orderkey", "claim_id")
+    # Ten sources are made from the lines with their unit: written once, then scanned with few columns each.
+    lines = save_intermediate(
+        t.lineitem.drop("l_partkey", "l_suppkey").join(owned.select(key.alias("l_orderkey"), unit), "l_orderkey").withColumnRenamed("l_orderkey", "claim_id"),
+        "claim-lines",
+    )
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     clause = F.concat(F.lit("XO."), F.col("l_linenumber")).alias("business_type_code")
     custkey = F.col("c_custkey")
@@ -350,11 +356,11 @@ def claim_sources(t) -> dict:
         "policy_number": F.concat(F.lit("P"), "policy_id", F.lit("-2")),
         "eff_date": day("1998-01-01"), "end_date": day(temporal.OPEN_DATE),
     })
+    dated = [F.col("l_shipdate").alias("eff_date"), day(temporal.OPEN_DATE).alias("end_date")]
     money = [
         "unit_code", "claim_id", F.when(F.col("l_linenumber") % 2 == 0, "T").otherwise("C").alias("kind"),
-        F.col("l_extendedprice").alias("amount_lcy"), F.col("l_shipdate").alias("system_date"),
+        F.col("l_extendedprice").alias("amount_lcy"), F.col("l_shipdate").alias("system_date"), *dated,
     ]
-    dated = [F.col("l_shipdate").alias("eff_date"), day(temporal.OPEN_DATE).alias("end_date")]
     actions = F.array(*[F.lit(a) for a in (
         "M_CHUYEN_C", "C_CHUYEN_V", "V_DUYET", "V_DUYET_DG_BL", "M_TRINH_C_DNTT", "C_CHUYEN_V_DNTT", "DUYET_QDINH",
     )])
@@ -410,59 +416,138 @@ def claim_sources(t) -> dict:
         "calls": owned.groupBy(unit, (key % 500).alias("call_center_id")).agg(
             F.max("o_orderdate").alias("created_date"), F.lit(1).alias("valid")
         ),
-        "garage_payments": lines.filter((flag == "R") & (status == "O")).select(*money, *dated),
-        "customer_payments": lines.filter((flag == "R") & (status == "F")).select(*money, *dated)
+        "garage_payments": lines.filter((flag == "R") & (status == "O")).select(*money),
+        "customer_payments": lines.filter((flag == "R") & (status == "F")).select(*money)
         .withColumnRenamed("system_date", "created_date"),
+        "prices": lines.filter(flag == "N").select(
+            "unit_code", "claim_id", F.col("l_shipdate").cast("timestamp_ntz").alias("proposed_at"),
+            F.when(F.col("l_linenumber") % 4 > 0, F.col("l_extendedprice")).otherwise(0).alias("price_approve_amt"),
+            F.col("l_extendedprice").alias("replacement_amt"), F.col("l_quantity").alias("special_replacement_amt"),
+            F.col("l_discount").alias("repair_amt"), F.col("l_tax").alias("repainting_amt"), F.col("l_discount").alias("labor_amt"),
+            F.col("l_quantity").alias("lifting_amt"), F.col("l_tax").alias("compensation_amt"), F.col("l_discount").alias("risk_shared_amt"),
+            F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("deductible_quantity"),
+        ),
+        "car_claims": owned.filter(key % 3 > 0).select(
+            unit, key.alias("claim_id"), F.when(key % 2 == 0, F.concat(F.lit("M"), key % 10)).alias("user"),
+            F.concat(F.lit("A"), key % 10).alias("claims_adjuster"),
+            F.when(key % 11 > 0, "XE").otherwise("2B").alias("product_type"),
+            F.col("o_orderdate").alias("eff_date"), day(temporal.OPEN_DATE).alias("end_date"),
+        ),
     }
 
 
-CLAIM_SQL = f"""WITH k AS (SELECT *, 'U' || c_nationkey AS unit FROM o JOIN c ON c_custkey = o_custkey WHERE o_orderdate <= DATE '{AS_OF}'),
-  li AS (SELECT *, CAST(CAST(round(l_extendedprice) AS BIGINT) AS VARCHAR) AS amt, 'XO.' || l_linenumber AS code FROM l),
-  codes AS (SELECT l_orderkey AS id, string_agg(code, ',' ORDER BY code) AS business_type_code FROM li GROUP BY 1),
-  est AS (SELECT id, v FROM (
+# Columns of the record that the star schema has no source for.
+NOT_HERE = (
+    "fee_payment_date notified_date event_code assessment_date garage_name motor_make motor_model_code motor_model chassis_number "
+    "motor_owner_name tier2_checker_user validate_user covered_repair_amt covered_lifting_amt total_recovery_amt"
+).split()
+STATUS_SQL = " ".join(f"WHEN {code} THEN '{name}'" for name, (code,) in claims.STATUS_NAMES.items())
+NUMBERS = {"claim_id", "policy_id", "certificate_id", "production_year", "number_of_deduction", "claim_detail_status"}
+
+
+def claim_sql(on: str) -> str:
+    """The record of every claim on a day, without its fingerprint."""
+    newest = "ORDER BY l_shipdate DESC, l_extendedprice + l_quantity + l_discount + l_tax + l_discount DESC, l_quantity DESC, l_tax DESC, l_discount DESC"
+    steps = {
+        "price_make_date": "l_linenumber = 1 AND l_linestatus = 'O'", "price_check_date": "l_linenumber = 2 AND l_linestatus = 'O'",
+        "price_validate_date": "l_linenumber = 3 AND l_linestatus = 'O'", "price_approval_make_date": "l_linenumber = 1 AND l_linestatus = 'F'",
+        "price_approval_check_date": "l_linenumber = 2 AND l_linestatus = 'F'", "price_approval_validate_date": "l_linenumber IN (3, 4) AND l_linestatus = 'F'",
+        "payment_require_make_date": "l_linenumber = 5", "payment_require_check_date": "l_linenumber = 6",
+        "payment_require_validate_date": "l_linenumber = 7", "guaranteed": "l_linenumber = 4",
+    }
+    log = ", ".join(f"CAST(max(CASE WHEN {hit} THEN l_shipdate END) AS TIMESTAMP) AS {name}" for name, hit in steps.items())
+    nulls = ", ".join(f"NULL AS {c}" for c in NOT_HERE)
+
+    def listed(flags: str, text: str, order: str) -> str:
+        return f"(SELECT l_orderkey AS id, string_agg(amt, ';' ORDER BY l_shipdate, {order}) AS a, string_agg(CAST(l_shipdate AS VARCHAR), ';' ORDER BY l_shipdate) AS d FROM li WHERE {flags} AND {text} GROUP BY 1)"
+
+    def summed(flags: str) -> str:
+        return f"(SELECT l_orderkey AS id, sum(l_extendedprice) AS a, max(l_shipdate) AS d FROM li WHERE {flags} AND l_shipdate <= DATE '{on}' GROUP BY 1)"
+
+    return f"""SELECT k.*, {nulls}, codes.business_type_code, coalesce(est.v, '0') AS compensation_amount_lcy, ms.* EXCLUDE (id, guaranteed),
+    CASE WHEN category <> '2B' THEN guaranteed END AS guarantee_date, gd.a AS garage_advance_amt, gd.d AS garage_advance_date,
+    ad.a AS customer_advance_amt, ad.d AS customer_advance_date, gb.a AS garage_advance_recovery_amt, cb.a AS customer_advance_recovery_amt,
+    gp.a AS garage_payment_amt, gp.d AS garage_payment_date, cp.a AS customer_payment_amt, cp.d AS customer_payment_date,
+    pr.total_repair_amt, pr.lifting_amt, pr.compensation_amt, pr.risk_shared_amt, coalesce(pr.deductible, 0) AS number_of_deduction,
+    calls.d AS call_date, DATE '{on}' AS fk_date
+  FROM (
+    SELECT o_orderkey AS claim_id, 'C' || o_orderkey AS claim_no, o_custkey AS policy_id, 'P' || o_custkey || '-{2 if on >= "1998" else 1}' AS policy_number,
+      o_orderkey AS certificate_id, 'CT' || o_orderkey AS certificate, CASE WHEN o_orderpriority = '1-URGENT' THEN '2B' ELSE 'XE' END AS category,
+      c_nationkey, CASE c_nationkey % 3 WHEN 0 THEN 'Miền Bắc' WHEN 1 THEN 'Miền Nam' ELSE '' END AS region,
+      'U' || c_nationkey AS unit_code, 'U' || c_nationkey AS manage_unit_code, n_name AS unit_name,
+      CASE c_nationkey % 3 WHEN 0 THEN '000' WHEN 1 THEN 'MN' ELSE '999' END AS department_code,
+      CASE WHEN c_nationkey % 3 < 2 THEN 'D ' || n_name END AS department_name,
+      CASE WHEN c_acctbal > 5000 THEN 'VIP ' || c_mktsegment ELSE CASE c_custkey % 5 WHEN 0 THEN 'VIP 1 KT' WHEN 1 THEN 'KH thông thường'
+        WHEN 2 THEN 'KH xấu' WHEN 3 THEN 'Đ.lý/Môi giới VIP - Các đối tượng/KH đ.lý/Môi giới này khai thác được coi là VIP' ELSE 'Không xác định' END END AS vip_customer_type,
+      CASE WHEN NOT sold THEN 'KHAC' ELSE coalesce(parent, 'KHAC') END AS general_agency,
+      CASE WHEN NOT sold THEN 'KHAC' ELSE 'GA' || c_custkey % 7 END AS tier_2_agency, CASE WHEN NOT sold THEN 'KHAC' ELSE 'A' || c_custkey % 7 END AS tier_3_agency,
+      coalesce(parent, 'KHAC') AS general_sale_channel,
+      CASE WHEN c_custkey % 4 = 0 THEN 'KHONG_KENH_KT' ELSE 'CO' || c_custkey % 50 END AS tier_2_sale_channel,
+      CASE WHEN c_custkey % 4 = 0 THEN 'KHONG_KENH_KT' ELSE 'K' || c_custkey % 50 END AS tier_3_sale_channel,
+      'K' || c_custkey AS custid, o_orderdate - 3 AS incident_date, o_orderdate AS system_date,
+      CASE WHEN o_orderkey % 5 > 0 THEN 'K' || o_orderkey % 50 END AS garage_code, CASE WHEN o_orderkey % 7 > 0 THEN 'L|' || o_orderkey END AS license_plate,
+      o_orderkey % 20 + 2000 AS production_year, o_orderkey % 25 AS claim_detail_status, CASE o_orderkey % 25 {STATUS_SQL} ELSE '' END AS claim_detail_status_name,
+      CASE WHEN o_orderstatus = 'F' THEN o_orderdate + 30 ELSE DATE '3000-01-01' END AS claim_approved_date,
+      CASE WHEN o_orderkey % 3 > 0 AND o_orderkey % 11 > 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'M' ELSE 'A' END || o_orderkey % 10 END AS maker_user,
+      'T' || o_orderkey % 9 AS tier1_checker_user,
+      CASE WHEN o_orderkey % 5 > 0 AND EXISTS (SELECT 1 FROM c g WHERE g.c_nationkey = b.c_nationkey AND g.c_custkey % 4 > 0 AND g.c_custkey % 50 = o_orderkey % 50)
+        THEN CASE WHEN o_orderkey % 50 % 2 = 0 THEN 'VNPOST' ELSE 'GROUP' END END AS custid_tong,
+      CAST(o_orderdate AS TIMESTAMP) + to_minutes(CASE o_orderkey % 3 WHEN 0 THEN 510 WHEN 1 THEN 605 ELSE 0 END) AS certificate_effective_date
+    FROM (SELECT *, c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AS sold,
+        CASE WHEN c_custkey % 4 > 0 THEN CASE WHEN c_custkey % 50 % 2 = 0 THEN 'VNPOST' ELSE 'GROUP' END END AS parent
+      FROM o JOIN c ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderdate <= DATE '{on}') b) k
+  JOIN (SELECT l_orderkey AS id, string_agg(code, ',' ORDER BY code) AS business_type_code FROM li GROUP BY 1) codes ON codes.id = claim_id
+  LEFT JOIN (SELECT id, v FROM (
       SELECT l_orderkey AS id, l_shipdate AS d, 0 AS src, string_agg(amt, ',' ORDER BY code, round(l_extendedprice)) AS v
-      FROM li WHERE l_returnflag = 'N' AND l_shipdate <= DATE '{AS_OF}' GROUP BY 1, 2
+      FROM li WHERE l_returnflag = 'N' AND l_shipdate <= DATE '{on}' GROUP BY 1, 2
       UNION ALL SELECT l_orderkey, o_orderdate + 30, 1, string_agg(amt, ',' ORDER BY code, round(l_extendedprice))
-      FROM li JOIN k ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY 1, 2)
-    QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC, src DESC) = 1),
-  ms AS (SELECT l_orderkey AS id, max(CASE WHEN l_linenumber = 1 AND l_linestatus = 'O' THEN l_shipdate END) AS price_make_date,
-      max(CASE WHEN l_linenumber IN (3, 4) AND l_linestatus = 'F' THEN l_shipdate END) AS price_approval_validate_date,
-      max(CASE WHEN l_linenumber = 7 THEN l_shipdate END) AS payment_require_validate_date,
-      max(CASE WHEN l_linenumber = 4 THEN l_shipdate END) AS guaranteed FROM li WHERE l_shipdate <= DATE '{AS_OF}' GROUP BY 1),
-  gd AS (SELECT l_orderkey AS id, string_agg(amt, ';' ORDER BY l_shipdate, round(l_extendedprice)) AS a, string_agg(CAST(l_shipdate AS VARCHAR), ';' ORDER BY l_shipdate) AS d
-    FROM li WHERE l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber % 2 = 0 GROUP BY 1),
-  ad AS (SELECT l_orderkey AS id, string_agg(amt, ';' ORDER BY l_shipdate, round(l_extendedprice)) AS a
-    FROM li WHERE l_returnflag = 'A' AND l_linestatus = 'F' AND l_linenumber % 2 = 1 GROUP BY 1),
-  calls AS (SELECT c_nationkey AS n, o_orderkey % 500 AS call, max(o_orderdate) AS d FROM o JOIN c ON c_custkey = o_custkey GROUP BY 1, 2),
-  gp AS (SELECT l_orderkey AS id, sum(l_extendedprice) AS a, max(l_shipdate) AS d FROM li WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND l_shipdate <= DATE '{AS_OF}' GROUP BY 1),
-  cp AS (SELECT l_orderkey AS id, sum(l_extendedprice) AS a FROM li WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_shipdate <= DATE '{AS_OF}' GROUP BY 1)
-  SELECT o_orderkey AS claim_id, 'P' || c_custkey || '-2' AS policy_number, 'CT' || o_orderkey AS certificate, business_type_code,
-    CASE c_nationkey % 3 WHEN 0 THEN 'Miền Bắc' WHEN 1 THEN 'Miền Nam' ELSE '' END AS region, n_name AS unit_name,
-    CASE WHEN c_nationkey % 3 < 2 THEN 'D ' || n_name END AS department_name,
-    CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 'GA' || c_custkey % 7 ELSE 'KHAC' END AS tier_2_agency,
-    CASE WHEN c_custkey % 4 = 0 THEN 'KHAC' WHEN c_custkey % 50 % 2 = 0 THEN 'VNPOST' ELSE 'GROUP' END AS general_sale_channel,
-    CASE WHEN c_custkey % 4 = 0 THEN 'KHONG_KENH_KT' ELSE 'CO' || c_custkey % 50 END AS tier_2_sale_channel,
-    CASE WHEN c_acctbal > 5000 THEN 'VIP ' || c_mktsegment ELSE CASE c_custkey % 5 WHEN 0 THEN 'VIP 1 KT' WHEN 1 THEN 'KH thông thường'
-      WHEN 2 THEN 'KH xấu' WHEN 3 THEN 'Đ.lý/Môi giới VIP - Các đối tượng/KH đ.lý/Môi giới này khai thác được coi là VIP' ELSE 'Không xác định' END END AS vip_customer_type,
-    coalesce(est.v, '0') AS compensation_amount_lcy, price_make_date, price_approval_validate_date, payment_require_validate_date,
-    CASE WHEN o_orderpriority <> '1-URGENT' THEN guaranteed END AS guarantee_date, gd.a AS garage_advance_amt, gd.d AS garage_advance_date,
-    ad.a AS customer_advance_amt, calls.d AS call_date, gp.a AS garage_payment_amt, gp.d AS garage_payment_date, cp.a AS customer_payment_amt,
-    CAST(o_orderdate AS TIMESTAMP) + to_minutes(CASE o_orderkey % 3 WHEN 0 THEN 510 WHEN 1 THEN 605 ELSE 0 END) AS certificate_effective_date
-  FROM k JOIN codes ON codes.id = o_orderkey JOIN nation ON n_nationkey = c_nationkey LEFT JOIN est ON est.id = o_orderkey
-    LEFT JOIN ms ON ms.id = o_orderkey LEFT JOIN gd ON gd.id = o_orderkey LEFT JOIN ad ON ad.id = o_orderkey
-    LEFT JOIN calls ON calls.n = c_nationkey AND calls.call = o_orderkey % 500 LEFT JOIN gp ON gp.id = o_orderkey LEFT JOIN cp ON cp.id = o_orderkey"""
+      FROM li JOIN o ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY d DESC, src DESC) = 1) est ON est.id = claim_id
+  LEFT JOIN (SELECT l_orderkey AS id, {log} FROM li WHERE l_shipdate <= DATE '{on}' GROUP BY 1) ms ON ms.id = claim_id
+  LEFT JOIN (SELECT l_orderkey AS id, l_extendedprice + l_quantity + l_discount + l_tax + l_discount AS total_repair_amt, l_quantity AS lifting_amt,
+      l_tax AS compensation_amt, l_discount AS risk_shared_amt, CASE WHEN l_linenumber > 1 THEN l_linenumber END AS deductible
+    FROM li WHERE l_returnflag = 'N' AND l_linenumber % 4 > 0 AND l_extendedprice <> 0
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey {newest}, coalesce(deductible, 0) DESC) = 1) pr ON pr.id = claim_id
+  LEFT JOIN {listed("l_returnflag = 'A' AND l_linestatus = 'O'", "l_linenumber % 2 = 0", "round(l_extendedprice)")} gd ON gd.id = claim_id
+  LEFT JOIN {listed("l_returnflag = 'A' AND l_linestatus = 'F'", "l_linenumber % 2 = 1", "round(l_extendedprice)")} ad ON ad.id = claim_id
+  LEFT JOIN {summed("l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber % 2 = 1")} gb ON gb.id = claim_id
+  LEFT JOIN {summed("l_returnflag = 'A' AND l_linestatus = 'F' AND l_linenumber % 2 = 0")} cb ON cb.id = claim_id
+  LEFT JOIN {summed("l_returnflag = 'R' AND l_linestatus = 'O'")} gp ON gp.id = claim_id
+  LEFT JOIN {summed("l_returnflag = 'R' AND l_linestatus = 'F'")} cp ON cp.id = claim_id
+  LEFT JOIN (SELECT c_nationkey AS n, o_orderkey % 500 AS call, max(o_orderdate) AS d FROM o JOIN c ON c_custkey = o_custkey GROUP BY 1, 2) calls
+    ON calls.n = k.c_nationkey AND calls.call = claim_id % 500"""
+
+
+LINES_SQL = "li AS (SELECT *, CAST(CAST(round(l_extendedprice) AS BIGINT) AS VARCHAR) AS amt, 'XO.' || l_linenumber AS code FROM l)"
+RECORD_TEXT = " || '|' || ".join(
+    f"coalesce('=' || replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\p'), '~')" for c in claims.RECORD
+)
+RECORD_TYPES = ", ".join(f"{c} {'BIGINT' if c in NUMBERS else 'VARCHAR'}" for c in claims.RECORD)
 
 
 @query(
-    "claim_id BIGINT, policy_number VARCHAR, certificate VARCHAR, business_type_code VARCHAR, region VARCHAR, unit_name VARCHAR, "
-    "department_name VARCHAR, tier_2_agency VARCHAR, general_sale_channel VARCHAR, tier_2_sale_channel VARCHAR, "
-    "vip_customer_type VARCHAR, compensation_amount_lcy VARCHAR, price_make_date VARCHAR, price_approval_validate_date VARCHAR, "
-    "payment_require_validate_date VARCHAR, guarantee_date VARCHAR, garage_advance_amt VARCHAR, garage_advance_date VARCHAR, "
-    "customer_advance_amt VARCHAR, call_date VARCHAR, garage_payment_amt DOUBLE, garage_payment_date VARCHAR, "
-    "customer_payment_amt DOUBLE, certificate_effective_date VARCHAR",
-    CLAIM_SQL,
+    f"{RECORD_TYPES}, row_hash VARCHAR, fk_date VARCHAR",
+    f"WITH {LINES_SQL}, r AS ({claim_sql(AS_OF)}) SELECT *, md5({RECORD_TEXT}) AS row_hash FROM r",
 )
 def claim_snapshot(t):
-    wide = claims.claim_snapshot(claim_sources(t), AS_OF)
-    as_days = ["price_make_date", "price_approval_validate_date", "payment_require_validate_date", "guarantee_date"]
-    return wide.withColumns({c: F.to_date(c) for c in as_days})
+    return claims.claim_snapshot(claim_sources(t), AS_OF)
+
+
+HISTORY_DAYS = ("1998-03-31", "1998-05-31")
+
+
+@query(
+    "claim_id BIGINT, certificate_id BIGINT, fk_date VARCHAR, row_hash VARCHAR, compensation_amount_lcy VARCHAR",
+    f"""WITH {LINES_SQL}, r AS ({claim_sql(HISTORY_DAYS[0])} UNION ALL BY NAME {claim_sql(HISTORY_DAYS[1])}),
+      h AS (SELECT *, md5({RECORD_TEXT}) AS row_hash FROM r)
+    SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM h b WHERE b.claim_id = h.claim_id AND b.row_hash = h.row_hash AND b.fk_date < h.fk_date)""",
+)
+def claim_history(t):
+    """Two days of records: of the second only those that are new or differ. Days are cut in the
+    sources, so that what was written on a day comes out again when the day runs again."""
+    sources, scratch = claim_sources(t), scratch_dir(t.spark)
+    log, latest = (os.path.join(scratch, f"{name}-{uuid.uuid4().hex}") for name in ("claim-log", "claim-states"))
+    for day in HISTORY_DAYS:
+        snapshot = claims.claim_snapshot(sources, day).drop("fk_date")
+        change_log.append_day_to_latest(t.spark, log, latest, snapshot, ["claim_id", "certificate_id"], day)
+    return t.spark.read.parquet(log)

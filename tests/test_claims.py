@@ -132,6 +132,90 @@ def test_replace_partition_clears_an_empty_day(spark, tmp_path):
     assert [(r.d, r.v) for r in spark.read.parquet(path).collect()] == [("b", 2)]
 
 
+def claim_tables(spark):
+    """Two claims of one unit, one of them with two insured objects, and a claim without clauses."""
+    far, early = D(3000, 1, 1), D(2020, 1, 1)
+    unit = ("U", )
+    of = lambda schema, *data: table(spark, "unit_code string, claim_id int, " + schema, *[(*unit, *r) for r in data])
+    ref = lambda schema, *data: table(spark, schema + ", eff_date date, end_date date", *[(*r, early, far) for r in data])
+    money = "kind string, amount_lcy decimal(18,2), system_date date, eff_date date, end_date date"
+    from decimal import Decimal as N
+
+    return {
+        "claims": of(
+            "manage_unit_code string, policy_id int, category string, department_code string, claim_detail_status int, call_center_id int, "
+            "garage_code string, claim_approved_date date, eff_date date, end_date date",
+            (1, "U", 7, "XE", "000", 22, 1, "G", D(2025, 1, 5), early, far), (2, "U", 7, "2B", "MN", 1, 2, None, far, early, far),
+            (3, "U", 7, "XE", "MN", 1, 2, None, far, early, far), (1, "U", 7, "XE", "000", 3, 1, "G", far, D(2019, 1, 1), D(2019, 12, 31)),
+        ),
+        "clauses": of("object_id int, business_type_code string, compensation_amount double", (1, 10, "B", 5.0), (1, 10, "A", 6.4), (1, 11, "C", 7.0), (2, 20, "A", 1.0)),
+        "estimates": of(
+            "business_type_code string, compensation_amount double, requested_at timestamp_ntz",
+            (1, "A", 3.0, T(2025, 1, 5, 8)), (2, "B", 4.0, T(2025, 1, 2)), (2, "A", 9.0, T(2025, 1, 2)), (2, "A", 2.0, T(2025, 1, 1)), (2, "A", 1.0, T(2026, 1, 1)),
+        ),
+        "log": of("action string, approve_type string, created_date timestamp_ntz", (1, "V_DUYET_DG_BL", "D", T(2025, 1, 3, 9)), (2, "V_DUYET_BL", "D", T(2025, 1, 3)), (2, "M_CHUYEN_C", "C", T(2027, 1, 1))),
+        "prices": of(
+            "proposed_at timestamp_ntz, price_approve_amt int, replacement_amt int, special_replacement_amt int, repair_amt int, repainting_amt int, labor_amt int, "
+            "lifting_amt int, compensation_amt int, risk_shared_amt int, deductible_quantity int",
+            (1, T(2025, 1, 1), 5, 1, 2, 3, 4, 5, 6, 7, 8, 2), (1, T(2025, 1, 2), 5, 10, 0, 0, 0, 0, 6, 7, 8, 3), (1, T(2025, 1, 3), 0, 99, 0, 0, 0, 0, 6, 7, 8, 9),
+        ),
+        "car_claims": of("user string, claims_adjuster string, product_type string, eff_date date, end_date date", (1, None, "adj", "XE", early, far), (2, "u", "a", "2B", early, far)),
+        "garage_debt": of(money, (1, "T", N(5), D(2025, 1, 2), early, far), (1, "T", N("6.5"), D(2025, 1, 1), early, far), (1, "C", N(4), D(2025, 1, 1), early, far), (1, "C", N(40), D(2025, 1, 1), early, early)),
+        "advances": of(money, (1, "C", N(8), D(2025, 1, 2), early, early), (1, "T", N(3), D(2025, 1, 2), early, far), (1, "T", N(2), D(2025, 1, 2), early, far)),
+        "garage_payments": of(money, (1, "x", N(8), D(2025, 1, 2), early, far), (1, "x", N(1), D(2025, 1, 4), early, far)),
+        "customer_payments": of(money.replace("system_date", "created_date"), (2, "x", N(8), D(2025, 1, 2), early, early)),
+        "policies": ref("unit_code string, policy_id int, policy_number string, custid string, custid_kt string, sale_channel_type string, sale_code string, vip_code int", ("U", 7, "P7", "C1", "K1", "D", "S1", -41)),
+        "certificates": ref("unit_code string, policy_id int, certificate_id int, certificate string, certificate_effective_date date, certificate_effective_time string", ("U", 7, 10, "CT", D(2025, 1, 1), "8H30")),
+        "customers": ref("unit_code string, custid string, custid_tong string, company_code string", ("U", "K1", "GROUP", "CO"), ("U", "G", "GARAGES", "CG")),
+        "units": ref("unit_code string, unit_name string", ("U", "Unit")),
+        "departments": ref("unit_code string, department_code string, department_name string", ("U", "000", "Dep")),
+        "agencies": ref("unit_code string, agency_id string, general_agency_channel string", ("U", "S1", "GA")),
+        "vip_customers": ref("unit_code string, custid string, vip_customer_type string", ("U", "C9", "Gold")),
+        "calls": table(spark, "unit_code string, call_center_id int, valid int, created_date timestamp_ntz", ("U", 1, 1, T(2025, 1, 1, 7)), ("U", 1, 0, T(2025, 1, 9))),
+    }
+
+
+def test_snapshot_folds_all_sources_of_a_claim(spark):
+    wide = claims.claim_snapshot(claim_tables(spark), "2025-01-31")
+    got = {(r.claim_id, r.certificate_id): r for r in wide.collect()}
+    assert set(got) == {(1, 10), (1, 11), (2, 20)}
+    one, two = got[1, 10], got[2, 20]
+    assert (one.business_type_code, got[1, 11].business_type_code) == ("A,B", "C") and one.compensation_amount_lcy == "6,5,7"
+    assert two.compensation_amount_lcy == "9,4" and two.price_make_date is None
+    assert (one.total_repair_amt, one.lifting_amt, one.number_of_deduction, two.total_repair_amt, two.number_of_deduction) == (10, 6, 3, None, 0)
+    assert (one.maker_user, two.maker_user) == ("adj", None)
+    assert (one.garage_advance_amt, one.garage_advance_date, one.garage_advance_recovery_amt) == ("7;5", "2025-01-01;2025-01-02", 4)
+    assert (one.customer_advance_amt, one.customer_advance_recovery_amt, two.customer_advance_amt) == ("8", 5, None)
+    assert (one.garage_payment_amt, one.garage_payment_date, two.customer_payment_amt) == (9, D(2025, 1, 4), None)
+    assert (one.guarantee_date, two.guarantee_date) == (T(2025, 1, 3, 9), None)
+    assert (one.custid_tong, one.general_sale_channel, two.custid_tong) == ("GARAGES", "GROUP", None)
+    assert (one.vip_customer_type, one.region, one.claim_detail_status_name) == ("VIP 1 KT", "Miền Bắc", "Đã thanh toán")
+    assert (one.certificate_effective_date, one.call_date) == (T(2025, 1, 1, 8, 30), T(2025, 1, 1, 7))
+    assert len({r.row_hash for r in got.values()}) == 3 and wide.columns == [*claims.RECORD, "row_hash", "fk_date"]
+
+
+def test_fingerprint_changes_with_any_source(spark):
+    sources = claim_tables(spark)
+    before = {(r.claim_id, r.certificate_id): r.row_hash for r in claims.claim_snapshot(sources, "2025-01-31").collect()}
+    later = table(spark, sources["prices"].schema, ("U", 2, T(2025, 1, 9), 1, 1, 1, 1, 1, 1, 1, 1, 1, 1))
+    sources["prices"] = sources["prices"].unionByName(later)
+    after = {(r.claim_id, r.certificate_id): r.row_hash for r in claims.claim_snapshot(sources, "2025-01-31").collect()}
+    assert {k for k in after if after[k] != before[k]} == {(2, 20)}
+
+
+def test_range_of_claims(spark):
+    got = claims.claim_snapshot(claim_tables(spark), "2025-01-31", claim_ids=(2, 3))
+    assert [(r.claim_id, r.compensation_amount_lcy) for r in got.collect()] == [(2, "9,4")]
+
+
+def test_fold_exchanges_the_claim_key_once(spark):
+    folded = claims.claim_fold(claims.claim_entries(claim_tables(spark), "2025-01-31"))
+    plan = folded._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    by_claim = [line for line in plan.splitlines() if "Exchange hashpartitioning(unit_code" in line]
+    by_claim = [line for line in by_claim if line.split("hashpartitioning(")[1].count("#") == 2]
+    assert len(by_claim) == 1 and "Union" in plan and "Join" not in plan
+
+
 def test_snapshot_keeps_one_row_per_claim_and_object(spark, data_dir):
     from tallyworks.plans.claims import AS_OF, claim_sources
     from tallyworks.sources import Tables
