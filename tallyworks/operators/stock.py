@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions import decimal_ratio
 from tallyworks.operators.ordering import next_ids, ordered_scan
 from tallyworks.operators.ranking import first_rows
+from tallyworks.sources.sinks import commit_tables, committed_tables, committed_versions
 
 RECEIPT, ISSUE = 1, 2
 # Fixed value: the document that always takes stock from the factory.
@@ -256,34 +257,78 @@ def convert_unit(df: DataFrame, items: DataFrame, name: str = "quantity9") -> Da
     )
 
 
+# Documents whose quantities may be counted in the sales unit.
+CONVERTING_DOCUMENTS = ("XK", "HD", "DC")
+
+
+def sales_stock(stock: DataFrame, lines: DataFrame, items: DataFrame | None, doc_code: str = CONVERTING_DOCUMENTS[0]) -> DataFrame:
+    """Stock with quantity9, what it holds in the unit of the request lines, and packing, how much of its
+    own unit is in one of that. Stock converts if a line of its item does and the document allows it; an
+    item that converts without a packing has no quantity9."""
+    if items is None or doc_code not in CONVERTING_DOCUMENTS:
+        return stock.withColumns({"quantity9": F.col("quantity"), "packing": F.lit(1).cast("decimal(18,2)")})
+    rates = lines.filter(F.col("convert_rate9") != 1).groupBy("item_id").agg(F.max("convert_rate9").alias("convert_rate9"))
+    converted = convert_unit(stock.join(rates, "item_id", "left"), items)
+    return converted.withColumns(
+        {
+            "quantity9": F.round("quantity9", 4).cast("decimal(28,4)"),
+            "packing": F.when(F.col("convert_rate9").isNotNull(), F.col("packing")).otherwise(1).cast("decimal(18,2)"),
+        }
+    ).drop("convert_rate9")
+
+
 def scan_out(
-    stock: DataFrame, lines: DataFrame, pieces: DataFrame, warehouses: DataFrame, **options
-) -> tuple[DataFrame, DataFrame]:
+    stock: DataFrame, lines: DataFrame, pieces: DataFrame, warehouses: DataFrame, items: DataFrame | None = None,
+    doc_code: str = CONVERTING_DOCUMENTS[0], **options,
+) -> tuple[DataFrame, DataFrame]:
     """Issue scanned stock to open request lines: the lines with new quantities, and all pieces.
-    Supply that fits no line opens a new one."""
+
+    Stock is divided by the packing of its item first where the item's lines are in the sales unit
+    (``items`` has id and packing). A piece holds what is allocated in that unit (quantity9) and times
+    the packing (quantity). Stock that fits no line opens a new one, in its own unit."""
     located = open_lines(fill_location(lines, stock, warehouses), warehouses, **options)
-    supply = stock.filter(F.col("quantity") > 0)
+    supply = sales_stock(stock.filter(F.col("quantity") > 0), located, items, doc_code)
     open_demand = located.filter((F.col("enough") == 0) & (F.col("scan_order") > 0))
     given = allocate_fifo(
         supply, open_demand, ["item_id", "warehouse_id"], "roll_code", "id",
-        ["roll_code"], ["scan_order"], "quantity", "remaining", **options,
+        ["roll_code"], ["scan_order"], "quantity9", "remaining", **options,
     )
-    fresh = unmatched_supply(supply, located, **options)
-    new_pieces = given.select(
-        "item_id", "warehouse_id", "roll_code",
-        F.col("allocated").alias("quantity9"), F.col("allocated").alias("quantity"),
+    rolls = ["item_id", "warehouse_id", "roll_code"]
+    packings = supply.groupBy(*rolls).agg(F.max("packing").alias("packing"))
+    scans = {k: v for k, v in options.items() if k != "save"}
+    fresh = unmatched_supply(supply.drop("quantity9", "packing"), located, **scans)
+    new_pieces = given.join(packings, rolls).select(
+        *rolls,
+        F.col("allocated").cast("decimal(28,4)").alias("quantity9"),
+        (F.col("allocated") * F.col("packing")).cast("decimal(28,4)").alias("quantity"),
         F.col("id").cast("bigint").alias("parent_id"),
     ).unionByName(
         fresh.select(
-            "item_id", "warehouse_id", "roll_code",
+            *rolls,
             F.col("quantity9").cast("decimal(28,4)").alias("quantity9"),
             F.col("quantity").cast("decimal(28,4)").alias("quantity"),
             F.col("id").cast("bigint").alias("parent_id"),
         )
     )
-    numbered = next_ids(
-        new_pieces, ["parent_id", "roll_code"], pieces, "id", "id", negative=True, **options
-    )
+    numbered = next_ids(new_pieces, ["parent_id", "roll_code"], pieces, "id", "id", negative=True, **scans)
     all_pieces = pieces.unionByName(numbered, allowMissingColumns=True)
     all_lines = located.unionByName(fresh.drop("roll_code"), allowMissingColumns=True)
     return parent_totals(all_lines, all_pieces), all_pieces
+
+
+LINES, PIECES = "lines", "pieces"
+
+
+def scan_out_batch(
+    spark: SparkSession, root: str, batch: str, stock: DataFrame, warehouses: DataFrame, items: DataFrame | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Scan out against the lines and pieces that the last batch left below ``root`` and commit both
+    together. A batch that is run again gives what it gave, without another allocation; a run that broke
+    off between the two tables has changed nothing."""
+    if batch not in {b for _, b in committed_versions(spark, root)}:
+        now = committed_tables(spark, root, [LINES, PIECES])
+        lines, pieces = scan_out(stock, now[LINES], now[PIECES], warehouses, items, **options)
+        kept = lines.select(*now[LINES].columns)
+        commit_tables(spark, root, batch, {LINES: kept, PIECES: pieces.select(*now[PIECES].columns)})
+    done = committed_tables(spark, root, [LINES, PIECES], batch)
+    return done[LINES], done[PIECES]

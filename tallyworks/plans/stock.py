@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyworks.operators import documents, stock
 from tallyworks.operators.ordering import next_ids as continue_ids
 from tallyworks.plans.registry import query
-from tallyworks.sources import rows_to_xml, save_intermediate
+from tallyworks.sources import commit_tables, rows_to_xml, save_intermediate, scratch_dir
 from tallyworks.sources import xml_rows as read_xml_rows
 
 ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
@@ -254,6 +257,61 @@ def convert_unit(t):
     return converted.withColumn("quantity9", F.round("quantity9", 4))
 
 
+# Quantities in ten-thousandths, so that all sums are of whole numbers.
+SCAN_SQL = f"""{LINES_SQL}, sp AS (SELECT i, w, 'R' || i || '-' || w AS roll, (w % 7 + 1) * 10 AS q FROM (SELECT DISTINCT l_partkey AS i, l_suppkey AS w FROM l)),
+  best AS (SELECT i, w FROM sp WHERE w % 5 > 0 QUALIFY row_number() OVER (PARTITION BY i ORDER BY q DESC, w) = 1),
+  placed AS (SELECT ln.* EXCLUDE (warehouse_id), coalesce(warehouse_id, w) AS wh FROM ln LEFT JOIN best ON i = item_id),
+  op AS (SELECT placed.*, CAST(10000 * (request_quantity - coalesce(quantity9, 0)) AS BIGINT) AS remaining,
+    CASE WHEN request_quantity IS NULL OR coalesce(quantity9, 0) < request_quantity THEN 0 ELSE 1 END AS enough,
+    CASE WHEN wh % 5 > 0 THEN row_number() OVER (PARTITION BY item_id, coalesce(wh % 5 > 0, false) ORDER BY is_promotion, builtin_order, id) ELSE 0 END AS scan_order FROM placed),
+  su AS (SELECT sp.*, CASE WHEN c.item_id IS NULL THEN 1 WHEN p_size > 5 THEN p_size END AS pack FROM sp JOIN p ON p_partkey = i
+    LEFT JOIN (SELECT DISTINCT item_id FROM ln WHERE l_orderkey % 6 = 0) c ON c.item_id = i),
+  s9 AS (SELECT *, sum(q9) OVER (PARTITION BY i, w ORDER BY roll ROWS UNBOUNDED PRECEDING) AS hi FROM (SELECT *, (2 * q * 10000 + pack) // (2 * pack) AS q9 FROM su WHERE pack IS NOT NULL)),
+  d9 AS (SELECT *, sum(remaining) OVER (PARTITION BY item_id, wh ORDER BY scan_order ROWS UNBOUNDED PRECEDING) AS hi FROM op WHERE enough = 0 AND scan_order > 0 AND remaining > 0),
+  fresh AS (SELECT i, w, roll, q, -(row_number() OVER (ORDER BY i, w, roll) + (SELECT max(id) FROM ln)) AS id FROM sp WHERE NOT EXISTS (SELECT 1 FROM op WHERE item_id = i AND wh = w)),
+  new AS (SELECT i, w, roll, least(d9.hi, s9.hi) - greatest(d9.hi - remaining, s9.hi - q9) AS n9, pack, id AS parent FROM d9 JOIN s9 ON i = item_id AND w = wh
+      AND d9.hi - remaining < s9.hi AND s9.hi - q9 < d9.hi
+    UNION ALL SELECT i, w, roll, q * 10000, 1, id FROM fresh),
+  pc AS (SELECT id AS id, item_id, id AS parent, CAST(NULL AS VARCHAR) AS roll, 50000 AS n9, 50000 AS n FROM ln WHERE l_orderkey % 4 = 0
+    UNION ALL SELECT -(row_number() OVER (ORDER BY parent, roll) + (SELECT max(id) FROM ln WHERE l_orderkey % 4 = 0)), i, parent, roll, n9, n9 * pack FROM new WHERE n9 > 0),
+  tot AS (SELECT parent, CAST(sum(n9) AS DOUBLE) / 10000 AS q9, CAST(sum(n) AS DOUBLE) / 10000 AS q FROM pc GROUP BY 1)"""
+
+
+def scanned_out(t):
+    """A batch of scans: every supply of a part as a roll, against all request lines and their pieces."""
+    root = os.path.join(scratch_dir(t.spark), f"scan-out-{uuid.uuid4().hex}")
+    lines = request_lines(t)
+    pieces = lines.filter(F.col("quantity9").isNotNull()).select(
+        "id", "item_id", "warehouse_id", F.lit(None).cast("string").alias("roll_code"),
+        F.col("quantity9").cast("decimal(28,4)").alias("quantity9"), F.col("quantity9").cast("decimal(28,4)").alias("quantity"),
+        F.col("id").alias("parent_id"),
+    )
+    lines = lines.withColumns({c: F.col(c).cast("decimal(28,4)") for c in ("quantity9", "quantity")})
+    commit_tables(t.spark, root, "opening", {stock.LINES: lines, stock.PIECES: pieces})
+    rolls = supplies(t).select(
+        F.concat_ws("-", roll(), "l_suppkey").alias("roll_code"), F.col("l_suppkey").alias("warehouse_id"),
+        F.col("l_partkey").alias("item_id"), F.col("supplied").alias("quantity"),
+    )
+    return stock.scan_out_batch(t.spark, root, "scans", rolls, warehouses(t), items(t), save=save_intermediate)
+
+
+@query(
+    "id BIGINT, item_id BIGINT, warehouse_id BIGINT, quantity9 DOUBLE, quantity DOUBLE",
+    f"""WITH {SCAN_SQL} SELECT id, item_id, wh AS warehouse_id, coalesce(q9, quantity9) AS quantity9, coalesce(q, 0) AS quantity FROM op LEFT JOIN tot ON parent = id
+    UNION ALL SELECT id, i, w, q9, tot.q FROM fresh JOIN tot ON parent = id""",
+)
+def scan_out(t):
+    return scanned_out(t)[0]
+
+
+@query(
+    "id BIGINT, item_id BIGINT, roll_code VARCHAR, quantity9 DOUBLE, quantity DOUBLE, parent_id BIGINT",
+    f"WITH {SCAN_SQL} SELECT id, item_id, roll AS roll_code, CAST(n9 AS DOUBLE) / 10000 AS quantity9, CAST(n AS DOUBLE) / 10000 AS quantity, parent AS parent_id FROM pc",
+)
+def scan_out_pieces(t):
+    return scanned_out(t)[1]
+
+
 @query(
     "item_id BIGINT, roll_code VARCHAR, quantity DOUBLE, parent_id BIGINT",
     f"WITH {LINES_SQL} SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 'R' || item_id END AS roll_code, 0 AS quantity, id AS parent_id FROM ln",

@@ -1,9 +1,22 @@
 from tallyworks.sources.readers import read_csv, read_jdbc, read_partition, xml_rows
-from tallyworks.sources.sinks import replace_partition, rows_to_xml, save_intermediate, scratch_dir
+from tallyworks.sources.sinks import (
+    commit_tables,
+    committed_tables,
+    committed_versions,
+    drop_old_versions,
+    replace_partition,
+    rows_to_xml,
+    save_intermediate,
+    scratch_dir,
+)
 from tallyworks.sources.tables import Tables
 
 __all__ = [
     "Tables",
+    "commit_tables",
+    "committed_tables",
+    "committed_versions",
+    "drop_old_versions",
     "read_csv",
     "read_jdbc",
     "read_partition",

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,52 @@ def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
     part.write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
+def committed_versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, batch) of every batch that ``commit_tables`` has finished, in order."""
+    try:
+        rows = spark.read.schema("batch string, version bigint").parquet(f"{root}/manifest").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted((r.version, r.batch) for r in rows)
+
+
+def committed_tables(spark: SparkSession, root: str, names: Sequence[str], batch: str | None = None) -> dict[str, DataFrame]:
+    """The tables as the batch left them, or as the last one did. None before the first batch."""
+    versions = [v for v, b in committed_versions(spark, root) if batch in (None, b)]
+    return {n: spark.read.parquet(f"{root}/{n}/{versions[-1]}") for n in names} if versions else {}
+
+
+def commit_tables(spark: SparkSession, root: str, batch: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write several tables as one step, and read them back as the batch left them.
+
+    Each version is written to folders of its own; readers find it by the manifest, whose single file
+    is added last. A run that ends before that leaves the version before it in place, and the next
+    run writes its folders anew. A batch that has been committed is not written again, so running it
+    twice changes nothing. One job at a time writes to a root."""
+    known = committed_versions(spark, root)
+    if batch not in {b for _, b in known}:
+        version = known[-1][0] + 1 if known else 1
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}/{version}")
+        entry = spark.range(1).select(F.lit(batch).alias("batch"))
+        entry.write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+    return committed_tables(spark, root, list(tables), batch)
+
+
+def drop_old_versions(spark: SparkSession, root: str, names: Sequence[str], keep: int = 2) -> None:
+    """Delete the tables of all but the newest versions, and what was written without a commit. The
+    manifest keeps its entries, so old batches are still known as done."""
+    live = {str(v) for v, _ in committed_versions(spark, root)[-keep:]}
+    for name in names:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(folder) if files.exists(folder) else []:
+            if status.getPath().getName() not in live:
+                files.delete(status.getPath(), True)
+
+
 def save_intermediate(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and read it back, so that a lost executor
     does not cause all earlier steps to run again. It goes below ``spark.checkpoint.dir``."""

@@ -1,3 +1,4 @@
+import os
 from collections import defaultdict
 from datetime import date as D
 from decimal import Decimal as Dec
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyworks.operators import documents, stock
-from tallyworks.sources import rows_to_xml, xml_rows
+from tallyworks.sources import commit_tables, committed_tables, committed_versions, drop_old_versions, rows_to_xml, xml_rows
 
 CUT = {"ranges": 4, "per_range": 4}
 
@@ -111,6 +112,68 @@ def test_scan_out_end_to_end(spark):
     assert got == {1: 10, 2: 3, 3: 5, 4: 0, -5: 4}
 
 
+PIECE = "id bigint, item_id int, warehouse_id int, roll_code string, quantity9 decimal(28,4), quantity decimal(28,4), parent_id bigint"
+CONVERTED = LINE.replace("quantity9 int, quantity int", "quantity9 decimal(28,4), quantity decimal(28,4)") + ", convert_rate9 int"
+
+
+def packed_case(spark):
+    """Item 7 is asked in packs of 4; item 8 is not; item 9 converts, but its packing is not known."""
+    lines = table(
+        spark, CONVERTED, (1, 7, 1, 2, None, Dec(0), 0, 1, 2), (2, 7, 1, 10, None, Dec(0), 0, 2, 1), (3, 8, 1, 3, None, Dec(0), 0, 1, 1), (4, 9, 1, 3, None, Dec(0), 0, 1, 2),
+    )
+    items = table(spark, "id int, packing decimal(18,2)", (7, Dec(4)), (8, Dec(5)), (9, None))
+    rolls = table(spark, "roll_code string, warehouse_id int, item_id int, quantity int", ("R1", 1, 7, 9), ("R2", 1, 8, 7), ("R3", 1, 9, 5), ("R4", 3, 7, 6))
+    return rolls, lines, table(spark, PIECE), items
+
+
+def pieces_of(df):
+    return {(r.roll_code, r.parent_id): (float(r.quantity9), float(r.quantity)) for r in df.collect()}
+
+
+def test_scan_out_in_packs(spark):
+    rolls, lines, pieces, items = packed_case(spark)
+    out, given = stock.scan_out(rolls, lines, pieces, warehouses(spark), items)
+    # 9 units are 2.25 packs: 2 for the first line, 0.25 for the second, which the table keeps in both units
+    assert pieces_of(given) == {("R1", 1): (2, 8), ("R1", 2): (0.25, 1), ("R2", 3): (3, 3), ("R4", -5): (6, 6)}
+    assert {r.id: (r.quantity9 and float(r.quantity9), float(r.quantity)) for r in out.collect()} == {
+        1: (2, 8), 2: (0.25, 1), 3: (3, 3), 4: (None, 0), -5: (6, 6),
+    }
+    _, plain = stock.scan_out(rolls, lines, pieces, warehouses(spark), items, doc_code="SI")
+    assert pieces_of(plain)["R1", 1] == (2, 2) and pieces_of(plain)["R1", 2] == (7, 7) and pieces_of(plain)["R3", 4] == (3, 3)
+
+
+def test_a_batch_of_scans_is_committed_once(spark, tmp_path):
+    rolls, lines, pieces, items = packed_case(spark)
+    root = str(tmp_path / "out")
+    commit_tables(spark, root, "opening", {stock.LINES: lines, stock.PIECES: pieces})
+    run = lambda name: stock.scan_out_batch(spark, root, name, rolls, warehouses(spark), items)
+    first = [sorted(map(tuple, df.collect()), key=str) for df in run("b1")]
+    assert committed_versions(spark, root) == [(1, "opening"), (2, "b1")]
+    assert [sorted(map(tuple, df.collect()), key=str) for df in run("b1")] == first
+    assert committed_versions(spark, root) == [(1, "opening"), (2, "b1")]
+    # The next batch goes on from there: the second line still wants 9.75 packs, the first nothing. The
+    # line that R4 opened has no request, so it takes no more, and no other one is opened for its place.
+    second = pieces_of(run("b2")[1].filter("id < -4"))
+    assert second == {("R1", 2): (2.25, 9)}
+    assert [sorted(map(tuple, df.collect()), key=str) for df in run("b1")] == first
+
+
+def test_a_crash_between_the_two_tables_changes_nothing(spark, tmp_path, monkeypatch):
+    rolls, lines, pieces, items = packed_case(spark)
+    root = str(tmp_path / "out")
+    commit_tables(spark, root, "opening", {stock.LINES: lines, stock.PIECES: pieces})
+    broken = table(spark, "id int", (1,)).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        commit_tables(spark, root, "b1", {stock.LINES: lines.limit(1), stock.PIECES: broken})
+    assert committed_versions(spark, root) == [(1, "opening")]
+    assert committed_tables(spark, root, [stock.LINES])[stock.LINES].count() == 4
+    _, given = stock.scan_out_batch(spark, root, "b1", rolls, warehouses(spark), items)
+    assert given.count() == 4 and committed_versions(spark, root)[-1] == (2, "b1")
+    drop_old_versions(spark, root, [stock.LINES, stock.PIECES], keep=1)
+    assert sorted(os.listdir(f"{root}/{stock.LINES}")) == ["2"]
+    assert committed_versions(spark, root)[0] == (1, "opening") and given.count() == 4
+
+
 def test_receipts_and_units(spark):
     lines = table(spark, "id int, item_id int, quantity int, convert_rate9 int", (1, 7, 10, 2), (2, 7, 10, 1), (3, 8, 10, 2), (4, 9, 10, 2))
     got = stock.receipt_pieces(lines, table(spark, "item_id int, roll_code string", (7, "R1")))
