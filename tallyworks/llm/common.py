@@ -51,6 +51,14 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores behind as no column of ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while taken & {n.lower() for n in names}:
+        names = tuple(f"{n}_" for n in names)
+    return list(names)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone; other letters stay."""
     return F.translate(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import saved, texts_of
+from tallyworks.llm.common import fresh_names, saved, texts_of
 from tallyworks.llm.components import connected_components, forest
 
 SHINGLE = 3
@@ -66,22 +66,29 @@ def majority(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.packbits(over, axis=1).view(">u8").astype(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row; no words: zero."""
+def with_fingerprints(texts: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """The columns of ``texts`` but for the last one, the text, and fp (its 64 bits as a signed long);
+    no words: zero."""
+    kept = texts.columns[:-1]
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for low in range(0, len(texts), 256):
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
                 values, ends = [], []
-                for text in texts[low : low + 256].to_pylist():
+                for text in part.column(len(kept)).to_pylist():
                     values += shingle_values(text, size, seed)
                     ends.append(len(values))
                 stops = np.array(ends)
                 fp = majority(np.array(values, np.uint64), np.concatenate([[0], stops[:-1]]), stops)
-                yield pa.RecordBatch.from_arrays([ids[low : low + 256], pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(fp.view(np.int64))], names=[*kept, "fp"])
+
+    return texts.mapInArrow(hashes, texts.select(*kept, F.lit(0).cast("long").alias("fp")).schema)
 
-    return texts_of(docs, id_col, text_col).mapInArrow(hashes, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and fp of every row; null texts are empty."""
+    return with_fingerprints(texts_of(docs, id_col, text_col), size, seed)
 
 
 def close_pairs(fp: np.ndarray, starts: np.ndarray, planes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,13 +222,24 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The document with the smallest id of each component, with its columns; of repeated rows of
-    an id one stays. Rows with a null id stay."""
-    marks = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
-    id_of = F.col(f"`{id_col}`")
-    kept = saved(
-        marks.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct(), "kept-documents"
-    )
-    named = docs.filter(id_of.isNotNull()).join(kept, id_of == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(id_of.isNull()))
+def one_of_each(
+    docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The first row, by id and a hash of the text, of each group of near-duplicates, with its columns.
+    Groups are what links reach, links being fingerprints with at most ``radius`` different bits.
+
+    A row is known by its id and text: rows of one id with different texts are judged apart, null
+    ids (the last in order) like others. Of repeated rows of one id and text any one stays. Null and
+    empty texts have fingerprint zero. An empty table gives no rows; columns may have any names."""
+    own, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    place = [own.isNull().alias("no_id"), F.coalesce(own, F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("text_key")]
+    marks = saved(with_fingerprints(docs.select(*place, text.alias("text")), size, seed), "fingerprints")
+    classes = marks.select("fp", F.col("fp").alias("rep")).distinct()
+    links = saved(links_of(classes, radius), "fingerprint-links")
+    parts = connected_components(links, "a", "b")
+    groups = marks.join(parts, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group"))
+    kept = saved(groups.agg(F.min(F.struct("no_id", "id", "text_key")).alias("first")).select("first.*"), "kept-documents")
+    names = fresh_names(docs, "no_id", "id", "text_key")
+    keyed = docs.withColumns({n: c for n, c in zip(names, place)})
+    chosen = kept.select(*[F.col(c).alias(n) for c, n in zip(kept.columns, names)])
+    return keyed.join(chosen, names, "left_semi").dropDuplicates(names).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -79,7 +79,7 @@ def test_near_duplicates_of_odd_rows(spark):
     null = [r for r in near_duplicates(messy(spark)).collect() if r.doc_id is None]
     assert [r.component_id for r in null] == [1]
     kept = one_of_each(messy(spark))
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 6, 7, 8]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "6", "7", "8"]
     assert kept.columns == messy(spark).columns and near_duplicates(empty(spark)).count() == 0
 
 
