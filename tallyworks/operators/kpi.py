@@ -251,12 +251,69 @@ def period_edge_estimates(
 @dataclass(frozen=True)
 class Metric:
     """One KPI: its code and label, the rows it takes, and either a value to add up or, without a
-    value, the number of distinct ids."""
+    value, the number of distinct ids. ``per`` is written behind code and label, so that each of
+    its values is a KPI of its own, ``suffix`` behind the label's."""
 
     code: str
     label: str
     where: Column | None = None
     value: Column | None = None
+    per: Column | None = None
+    suffix: str = ""
+
+
+def metric_facts(
+    df: DataFrame, metrics: Mapping[str, Sequence[Metric]], id: str, keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """What each row of one input adds to the metrics, in one pass: a row for every metric that takes it.
+
+    ``metrics`` are listed by the column that is the last of ``keys`` for them. Facts of several inputs
+    can be put under each other: keys, code, name, id (NULL for sums), exact and approximate value."""
+    *shared, last = keys
+    known = df.schema[id].dataType
+    facts = []
+    for column, listed in metrics.items():
+        for m in listed:
+            code, name = F.lit(m.code), F.lit(m.label)
+            if m.per is not None:
+                code, name = F.concat(code, m.per), F.concat(name, m.per, F.lit(m.suffix))
+            takes = F.lit(True) if m.where is None else m.where
+            none = F.lit(None).cast("double")
+            if m.value is None:
+                counted, exact, inexact, takes = F.col(id), F.lit(None), none, takes & F.col(id).isNotNull()
+            else:
+                binary = df.select(m.value).schema[0].dataType.typeName() in ("double", "float")
+                counted, takes = F.lit(None).cast(known), takes & m.value.isNotNull()
+                exact, inexact = (F.lit(None), m.value) if binary else (m.value, none)
+            fact = F.struct(
+                F.col(column).cast("string").alias(last), code.alias("code"), name.alias("name"), counted.alias("id"),
+                exact.cast("decimal(38,6)").alias("exact"), inexact.cast("double").alias("inexact"),
+            )
+            facts.append(F.when(takes, fact))
+    return df.select(*shared, F.explode(F.array_compact(F.array(*facts))).alias("fact")).select(*shared, "fact.*")
+
+
+def fold_facts(facts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """keys, code, name, and exact and inexact values of all metrics: ids are made distinct, then counted;
+    sums are formed in the tasks first, so they cross the first exchange as one row a task."""
+    group = [*keys, "code", "name"]
+    once = facts.groupBy(*group, "id").agg(F.sum("exact").alias("exact"), F.sum("inexact").alias("inexact"))
+    counted = F.when(F.col("id").isNotNull(), F.lit(1).cast("decimal(38,6)")).otherwise(F.col("exact"))
+    return once.groupBy(*group).agg(F.sum(counted).alias("exact"), F.sum("inexact").alias("inexact"))
+
+
+def fact_value() -> Column:
+    return F.coalesce(F.col("exact").cast("double"), F.col("inexact"))
+
+
+def group_total(
+    folded: DataFrame, hidden: str, group: str, code: str, label: str, keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """The total of a folded metric over a group of its members, on every member."""
+    members = folded.filter(F.col("code") == hidden)
+    totals = members.groupBy(F.col(group).alias("__group")).agg(F.sum("exact").alias("exact"), F.sum("inexact").alias("inexact"))
+    joined = members.select(*keys).join(totals, F.col(group).eqNullSafe(F.col("__group")))
+    return joined.select(*keys, F.lit(code).alias("code"), F.lit(label).alias("name"), "exact", "inexact")
 
 
 def metric_union(
@@ -400,6 +457,8 @@ HEAD_CODES = (
 )
 CAR_CATEGORIES, PRODUCTS = ("XE", "XEL"), ("XE", "XEL", "2BL", "2B")
 CANCELLED_STATUS, MAIN_CLAUSE, SKIPPED_CLAUSES = 1, "XO.4.1.1", "XM"
+# Folded metrics that are only shown as totals of groups.
+RATED_TOTAL, AMOUNT_TOTAL = "__rated", "__amount"
 
 
 def claim_base(claims: DataFrame, regions: DataFrame) -> DataFrame:
@@ -428,8 +487,11 @@ def kpi_dataset(
 ) -> DataFrame:
     """The tall KPI dataset of one day.
 
-    Cleaned claims, the claim lines of the day, claim steps and the timed log are each read by
-    several metrics. ``save``, for example ``sources.save_intermediate``, writes them once.
+    Every input is read once and turned into the facts that it adds to its metrics (``metric_facts``);
+    the facts of all inputs are put under each other and folded in one aggregation by group, metric
+    and id and one by group and metric. Totals of departments and regions come from the folded rows.
+    ``save``, for example ``sources.save_intermediate``, writes the cleaned claims, which five inputs
+    read, and the folded metrics.
 
     ``sources`` holds claims, regions (department_code, region), clauses, bands, rates, log,
     requests, quotes, approved_prices, calls, employees, heads and calendar.
@@ -461,14 +523,13 @@ def kpi_dataset(
     detail = detail.join(prices, "claim_id", "left").join(
         rates.filter(F.col("report_month") == month).drop("report_month"), "manage_unit_code", "left"
     )
-    detail = save(detail, "claim-lines")
-    settled = detail.filter(F.col("slice") == "settled")
     positive = F.col("amount") > 0
+    settled, last_year, still_open = (F.col("slice") == name for name in ("settled", "last_year", "open"))
     rated = F.col("amount") * F.col("claim_rate")
 
-    def average_cost(prefix: str, bound: int, suffix: str) -> list[Metric]:
+    def average_cost(prefix: str, bound: int, rows: Column, suffix: str) -> list[Metric]:
         chosen = (
-            positive & (F.col("amount") < bound)
+            rows & positive & (F.col("amount") < bound)
             & (F.col("business_type_code") == MAIN_CLAUSE) & (F.col("deductions") > 0)
         )
         return [
@@ -476,84 +537,82 @@ def kpi_dataset(
             Metric(f"{prefix}_CPBQ_MAU{suffix}", "Chi phí bình quân (mẫu số)", chosen, F.col("deductions")),
         ]
 
+    def by_level(code: str, label: str, where: Column, suffix: str = "") -> Metric:
+        return Metric(code, label, where & F.col("level").between(1, 8), per=F.col("level").cast("string"), suffix=suffix)
+
+    allowed = F.create_map(*[F.lit(x) for pair in AGE_LIMITS.items() for x in pair])
+    old = F.datediff(at, F.to_date("system_date")) > allowed[F.col("level")]
     levelled = positive & F.col("level").between(1, 8)
-    parts = [
-        broadcast_group_total(settled, ["department_code"], rated, "GD_TLBT_TU", "Tỷ lệ BT thực hiện (tử số)"),
-        broadcast_group_total(settled, ["department_code"], F.col("amount"), "GD_TLBT_MAU", "Tỷ lệ BT thực hiện (mẫu số)"),
-        broadcast_group_total(settled, ["region"], F.col("amount"), "TD_TLBT_MAU", "Tỷ lệ BT thực hiện (mẫu số)"),
-        metric_union(
-            settled,
-            [
-                Metric("TD_TLBT_TU", "Tỷ lệ BT thực hiện (tử số)", None, rated),
-                Metric("GD_HSBT_dgq", "Tổng HSBT đã giải quyết", levelled),
-                *average_cost("GD", 10_000_000, ""),
-                *average_cost("TD", 20_000_000, ""),
-            ],
-            "claim_id",
-        ),
-        level_counts(settled, "claim_id", "GD_C", "Giám định C", positive),
-        metric_union(
-            detail.filter(F.col("slice") == "last_year"),
-            [*average_cost("GD", 10_000_000, "_NT"), *average_cost("TD", 20_000_000, "_NT")],
+    facts = [
+        metric_facts(
+            detail,
+            {
+                "employee_code": [
+                    Metric(RATED_TOTAL, "", settled, F.coalesce(rated, F.lit(0.0))),
+                    Metric(AMOUNT_TOTAL, "", settled, F.coalesce(F.col("amount"), F.lit(0))),
+                    Metric("TD_TLBT_TU", "Tỷ lệ BT thực hiện (tử số)", settled, rated),
+                    Metric("GD_HSBT_dgq", "Tổng HSBT đã giải quyết", settled & levelled),
+                    *average_cost("GD", 10_000_000, settled, ""),
+                    *average_cost("TD", 20_000_000, settled, ""),
+                    by_level("GD_C", "Giám định C", settled & positive),
+                    *average_cost("GD", 10_000_000, last_year, "_NT"),
+                    *average_cost("TD", 20_000_000, last_year, "_NT"),
+                    by_level("GD_ton_lau_lv", "Level ", still_open & positive & old, " tồn lâu"),
+                ]
+            },
             "claim_id",
-        ),
-        aged_backlog(detail.filter((F.col("slice") == "open") & positive), as_of, "claim_id", "system_date"),
+        )
     ]
 
-    steps = save(
-        claim_milestones(
-            sources["log"], base.drop("employee_code"), sources["clauses"], sources["bands"]
-        ),
-        "claim-steps",
-    )
+    steps = claim_milestones(sources["log"], base.drop("employee_code"), sources["clauses"], sources["bands"])
     cutoff = F.lit(f"{as_of} 17:00:00").cast("timestamp_ntz")
 
     def waiting(arrived: str, returned: str, done: str) -> Column:
         open_after = [F.col(c).isNull() | (F.col(c) > cutoff) for c in (returned, done)]
         return (F.col(arrived) <= cutoff) & open_after[0] & open_after[1]
 
-    checkers = steps.withColumnRenamed("tier1_checker_user", "employee_code")
-    validators = steps.withColumnRenamed("validate_user", "employee_code")
     checked_today = positive & (F.to_date("checked_at") == at)
     validated_today = positive & (F.to_date("validated_at") == at)
-    unchecked = waiting("check_received_at", "check_returned_at", "checked_at")
+    unchecked = waiting("check_received_at", "check_returned_at", "checked_at") & F.col("tier1_checker_user").isNotNull()
     unvalidated = waiting("checked_at", "validate_returned_at", "validated_at")
-    parts += [
-        level_counts(checkers, "claim_id", "TD_check_C", "Check C", checked_today),
-        level_counts(validators, "claim_id", "TD_validate_C", "Validate C", validated_today),
-        metric_union(
-            checkers.filter(F.col("employee_code").isNotNull()),
-            [Metric("TD_Check_chua_duyet", "Số HSBT chưa check xong", unchecked)],
+    facts.append(
+        metric_facts(
+            steps,
+            {
+                "tier1_checker_user": [
+                    by_level("TD_check_C", "Check C", checked_today),
+                    Metric("TD_Check_chua_duyet", "Số HSBT chưa check xong", unchecked),
+                ],
+                "validate_user": [
+                    by_level("TD_validate_C", "Validate C", validated_today),
+                    Metric("TD_validate_chua_duyet", "Số HSBT chưa validate xong", unvalidated),
+                ],
+            },
             "claim_id",
-        ),
-        metric_union(
-            validators,
-            [Metric("TD_validate_chua_duyet", "Số HSBT chưa validate xong", unvalidated)],
-            "claim_id",
-        ),
-    ]
+        )
+    )
 
     calls = sources["calls"].filter(F.col("valid") == 1).groupBy(
         F.col("call_id").alias("call_center_id"), F.col("unit_code").alias("manage_unit_code")
     ).agg(F.max(F.to_date("system_date")).alias("call_date"))
-    called = base.drop("employee_code").withColumnRenamed("user", "employee_code").join(
-        calls, ["call_center_id", "manage_unit_code"], "left"
-    )
+    called = base.join(calls, ["call_center_id", "manage_unit_code"], "left")
     opened_today = F.col("system_date") == at
     pending = (F.col("system_date") < at) & (F.to_date("claim_approved_date") >= at)
     gap = weekday_gap(F.col("call_date"), F.col("system_date"))
     positive_gap = F.when(gap > 0, gap).otherwise(0)
-    parts.append(
-        metric_union(
+    facts.append(
+        metric_facts(
             called,
-            [
-                Metric("GD_HSBT_ton_dau_ky", "HSBT tồn đầu kỳ", pending),
-                Metric("GD_HSBT_phat_sinh", "HSBT phát sinh", opened_today),
-                Metric("GD_mo_sau_2_ngay", "Số HSBT mở sau 2 ngày nhập call", opened_today & (gap > 2)),
-                Metric("GD_so_ngay_mo_hs_sau_call", "Tổng số ngày mở HSBT sau khi nhận call", opened_today, positive_gap),
-                Metric("GD_HSBT_phat_sinh_vizualize", "HSBT phát sinh trong kỳ", opened_today),
-                Metric("GD_HSBT_ton_dau_ky_vizualize", "HSBT tồn đầu kỳ", pending),
-            ],
+            {
+                "user": [
+                    Metric("GD_HSBT_ton_dau_ky", "HSBT tồn đầu kỳ", pending),
+                    Metric("GD_HSBT_phat_sinh", "HSBT phát sinh", opened_today),
+                    Metric("GD_mo_sau_2_ngay", "Số HSBT mở sau 2 ngày nhập call", opened_today & (gap > 2)),
+                    Metric("GD_so_ngay_mo_hs_sau_call", "Tổng số ngày mở HSBT sau khi nhận call", opened_today, positive_gap),
+                    Metric("GD_HSBT_phat_sinh_vizualize", "HSBT phát sinh trong kỳ", opened_today),
+                    Metric("GD_HSBT_ton_dau_ky_vizualize", "HSBT tồn đầu kỳ", pending),
+                ]
+            },
             "claim_id",
         )
     )
@@ -572,30 +631,27 @@ def kpi_dataset(
         sources["calendar"],
         **options,
     ).filter(F.to_date("created_date") == at)
-    timed = save(timed, "timed-log")
     to_check, to_validate = F.col("action") == "M_CHUYEN_C", F.col("action") == "C_CHUYEN_V"
     approved = F.col("action").isin("V_DUYET", "V_DUYET_DG_BL")
     spent = F.coalesce("working_seconds", F.lit(0))
-    parts += [
-        metric_union(
-            timed.withColumnRenamed("received_user", "employee_code"),
-            [
-                Metric("TD_check_nhan_moi", "Check nhận mới trong kỳ", to_check),
-                Metric("TD_validate_nhan_moi", "Validate nhận mới trong kỳ", to_validate),
-            ],
+    facts.append(
+        metric_facts(
+            timed,
+            {
+                "received_user": [
+                    Metric("TD_check_nhan_moi", "Check nhận mới trong kỳ", to_check),
+                    Metric("TD_validate_nhan_moi", "Validate nhận mới trong kỳ", to_validate),
+                ],
+                "sent_user": [
+                    Metric("TD_check_hoan_thanh", "Check hoàn thành trong kỳ", to_validate),
+                    Metric("TD_check_dung_han", "Check hoàn thành trong kỳ", to_validate & (spent <= F.col("check_limit"))),
+                    Metric("TD_validate_hoan_thanh", "Validate hoàn thành trong kỳ", approved),
+                    Metric("TD_validate_dung_han", "Check hoàn thành trong kỳ", approved & (spent <= F.col("validate_limit"))),
+                ],
+            },
             "claim_id",
-        ),
-        metric_union(
-            timed.withColumnRenamed("sent_user", "employee_code"),
-            [
-                Metric("TD_check_hoan_thanh", "Check hoàn thành trong kỳ", to_validate),
-                Metric("TD_check_dung_han", "Check hoàn thành trong kỳ", to_validate & (spent <= F.col("check_limit"))),
-                Metric("TD_validate_hoan_thanh", "Validate hoàn thành trong kỳ", approved),
-                Metric("TD_validate_dung_han", "Check hoàn thành trong kỳ", approved & (spent <= F.col("validate_limit"))),
-            ],
-            "claim_id",
-        ),
-    ]
+        )
+    )
 
     edge = {
         21: ("opening_value", "GD_GT_HSBT_ton_dau_ky", "Ước HSBT tồn đầu kỳ"),
@@ -606,9 +662,17 @@ def kpi_dataset(
         values = period_edge_estimates(
             base, sources["requests"], sources["quotes"], sources["clauses"], as_of
         ).filter(F.col("region").isNotNull())
-        parts.append(metric_union(values, [Metric(code, label, None, F.col(column))], "claim_id"))
+        facts.append(metric_facts(values, {"employee_code": [Metric(code, label, None, F.col(column))]}, "claim_id"))
 
-    tall = save(reduce(DataFrame.unionByName, parts), "metrics")
+    folded = save(fold_facts(reduce(DataFrame.unionByName, facts)), "metrics")
+    hidden = F.col("code").isin(RATED_TOTAL, AMOUNT_TOTAL)
+    parts = [
+        folded.filter(~hidden),
+        group_total(folded, RATED_TOTAL, "department_code", "GD_TLBT_TU", "Tỷ lệ BT thực hiện (tử số)"),
+        group_total(folded, AMOUNT_TOTAL, "department_code", "GD_TLBT_MAU", "Tỷ lệ BT thực hiện (mẫu số)"),
+        group_total(folded, AMOUNT_TOTAL, "region", "TD_TLBT_MAU", "Tỷ lệ BT thực hiện (mẫu số)"),
+    ]
+    tall = reduce(DataFrame.unionByName, parts).select(*KEYS, "code", "name", fact_value().alias("value"))
     rolled = head_rollup(tall, sources["employees"], sources["heads"], sources["regions"], HEAD_CODES)
     return publish(rolled, as_of)
 

@@ -424,14 +424,14 @@ def kpi_sources(t) -> dict:
         F.concat(F.lit("E"), nation, F.lit("-"), key % 4).alias("employee_code"),
         F.concat(F.lit("D"), nation).alias("department_code"),
     ).distinct()
-    bounds = t.lineitem.agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    bounds = save_intermediate(t.lineitem.agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last")), "day-bounds")
     return {
         "claims": claims,
         "regions": departments.filter(F.col("region").isNotNull()),
         "clauses": clauses,
         "bands": bands,
         "rates": t.nation.select(
-            F.concat(F.lit("U"), "n_nationkey").alias("unit_code"), F.lit("1998-06").alias("report_month"),
+            F.concat(F.lit("U"), "n_nationkey").alias("unit_code"), F.explode(F.array(F.lit("1998-06"), F.lit("1998-07"))).alias("report_month"),
             (F.col("n_nationkey") / 10).alias("claim_rate"),
         ),
         "log": log,
@@ -462,8 +462,10 @@ def _tall(code: str, value: str, source: str, employee: str = "employee", by: st
     )
 
 
-def _kpi_sql() -> str:
-    settled, last, still = ("(SELECT * FROM det WHERE slice = '%s')" % s for s in ("settled", "last_year", "open"))
+def _kpi_sql(as_of: str, label: str, first: str, last: str) -> str:
+    """The dataset of a day in the fiscal month from ``first`` to ``last``."""
+    at = f"DATE '{as_of}'"
+    settled, year_ago, still = ("(SELECT * FROM det WHERE slice = '%s')" % s for s in ("settled", "last_year", "open"))
     levelled = "amount > 0 AND level BETWEEN 1 AND 8"
     parts = [
         f"SELECT DISTINCT region, dept, employee, 'GD_TLBT_TU' AS code, CAST(sum(amount * rate) OVER (PARTITION BY dept) AS DOUBLE) AS value FROM {settled}",
@@ -473,16 +475,16 @@ def _kpi_sql() -> str:
         _tall("'GD_HSBT_dgq'", "count(DISTINCT id)", f"{settled} WHERE {levelled}"),
         _tall("'GD_C' || level", "count(DISTINCT id)", f"{settled} WHERE {levelled}", by=", level"),
         _tall("'GD_ton_lau_lv' || level", "count(DISTINCT id)",
-              f"{still} WHERE {levelled} AND {AT} - opened > CASE WHEN level <= 2 THEN 45 WHEN level <= 4 THEN 60 ELSE 90 END", by=", level"),
+              f"{still} WHERE {levelled} AND {at} - opened > CASE WHEN level <= 2 THEN 45 WHEN level <= 4 THEN 60 ELSE 90 END", by=", level"),
     ]
-    for source, suffix in ((settled, ""), (last, "_NT")):
+    for source, suffix in ((settled, ""), (year_ago, "_NT")):
         for prefix, bound in (("GD", 10_000_000), ("TD", 20_000_000)):
             where = f"{source} WHERE amount > 0 AND amount < {bound} AND code = 'XO.4.1.1' AND deductions > 0"
             parts.append(_tall(f"'{prefix}_CPBQ_TU{suffix}'", "sum(amount)", where))
             parts.append(_tall(f"'{prefix}_CPBQ_MAU{suffix}'", "sum(deductions)", where))
     for code, employee, done in (("TD_check_C", "checker", "checked"), ("TD_validate_C", "validator", "validated")):
-        parts.append(_tall(f"'{code}' || level", "count(DISTINCT id)", f"steps WHERE {levelled} AND CAST({done} AS DATE) = {AT}", employee, ", level"))
-    cut = f"TIMESTAMP '{AS_OF} 17:00:00'"
+        parts.append(_tall(f"'{code}' || level", "count(DISTINCT id)", f"steps WHERE {levelled} AND CAST({done} AS DATE) = {at}", employee, ", level"))
+    cut = f"TIMESTAMP '{as_of} 17:00:00'"
     for code, employee, arrived, returned, done in (
         ("TD_Check_chua_duyet", "checker", "received", "check_back", "checked"),
         ("TD_validate_chua_duyet", "validator", "checked", "validate_back", "validated"),
@@ -491,7 +493,7 @@ def _kpi_sql() -> str:
             f"'{code}'", "count(DISTINCT id)",
             f"steps WHERE {employee} IS NOT NULL AND {arrived} <= {cut} AND coalesce({returned} > {cut}, true) AND coalesce({done} > {cut}, true)", employee,
         ))
-    pending, today = f"opened < {AT} AND approved >= {AT}", f"opened = {AT}"
+    pending, today = f"opened < {at} AND approved >= {at}", f"opened = {at}"
     for code, value, where in (
         ("GD_HSBT_ton_dau_ky", "count(*)", pending), ("GD_HSBT_ton_dau_ky_vizualize", "count(*)", pending),
         ("GD_HSBT_phat_sinh", "count(*)", today), ("GD_HSBT_phat_sinh_vizualize", "count(*)", today),
@@ -505,7 +507,8 @@ def _kpi_sql() -> str:
         ("TD_validate_hoan_thanh", "sender", validated), ("TD_validate_dung_han", "sender", f"{validated} AND seconds <= validate_limit"),
     ):
         parts.append(_tall(f"'{code}'", "count(DISTINCT id)", f"timed WHERE {where}", employee))
-    parts.append(_tall("'GD_GT_HSBT_ton_cuoi_ky'", "sum(closing)", "edges WHERE region IS NOT NULL"))
+    edge, value = {"20": ("GD_GT_HSBT_ton_cuoi_ky", "closing"), "21": ("GD_GT_HSBT_ton_dau_ky", "opening")}[as_of[8:]]
+    parts.append(_tall(f"'{edge}'", f"sum({value})", "edges WHERE region IS NOT NULL"))
     head_codes = ", ".join(f"'{c}'" for c in kpi.HEAD_CODES)
     return f"""WITH li AS (SELECT l_orderkey AS id, l_linenumber AS n, CASE l_linenumber WHEN 1 THEN 'XO.4.1.1' WHEN 7 THEN 'XM.1' ELSE 'XO.' || l_linenumber END AS code,
       l_extendedprice * 200 AS amount, l_shipdate, l_returnflag, CAST(l_shipdate AS TIMESTAMP) + to_hours(l_partkey % 24) + to_seconds(l_partkey % 60) AS ts,
@@ -516,9 +519,9 @@ def _kpi_sql() -> str:
       CASE WHEN o_orderkey % 5 > 0 THEN 'K' || c_nationkey || '-' || o_orderkey % 3 END AS checker, 'V' || c_nationkey AS validator,
       CASE WHEN o_orderstatus = 'F' THEN o_orderdate + 30 ELSE DATE '3000-01-01' END AS approved
       FROM o JOIN c ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderkey % 11 > 0 AND o_orderkey % 13 <> 1),
-    det AS (SELECT base.*, CASE WHEN approved = {AT} THEN 'settled' WHEN approved = {AT} - INTERVAL 1 YEAR THEN 'last_year' WHEN approved > {AT} THEN 'open' END AS slice,
+    det AS (SELECT base.*, CASE WHEN approved = {at} THEN 'settled' WHEN approved = {at} - INTERVAL 1 YEAR THEN 'last_year' WHEN approved > {at} THEN 'open' END AS slice,
       code, amount, level, base.n / 10 AS rate, CASE WHEN base.id % 3 > 0 THEN base.id % 3 END AS deductions
-      FROM base JOIN li ON li.id = base.id WHERE l_shipdate >= {AT} - INTERVAL 2 YEAR AND code NOT LIKE 'XM%'),
+      FROM base JOIN li ON li.id = base.id WHERE l_shipdate >= {at} - INTERVAL 2 YEAR AND code NOT LIKE 'XM%'),
     steps AS (SELECT base.*, m.* EXCLUDE (id) FROM base JOIN (SELECT id, max(ts) FILTER (n = 1) AS received, max(ts) FILTER (n = 2) AS check_back, max(ts) FILTER (n = 3) AS checked,
       max(ts) FILTER (n = 4) AS validate_back, max(ts) FILTER (n IN (5, 6)) AS validated, sum(amount) AS amount, max(level) AS level FROM li GROUP BY 1) m ON m.id = base.id),
     calls AS (SELECT o_orderkey % 300 AS call, c_nationkey AS n, max(o_orderdate) - 5 AS d FROM o JOIN c ON c_custkey = o_custkey GROUP BY 1, 2),
@@ -533,23 +536,36 @@ def _kpi_sql() -> str:
         WHERE day BETWEEN CAST(before AS DATE) AND CAST(ts AS DATE)), 0) AS seconds,
       CASE WHEN amount < 20000000 THEN 7200 WHEN amount <= 50000000 THEN 14400 WHEN amount <= 100000000 THEN 18000 ELSE 36000 END AS check_limit,
       CASE WHEN amount <= 50000000 THEN 7200 WHEN amount <= 100000000 THEN 10800 ELSE 21600 END AS validate_limit
-      FROM laid JOIN base ON base.id = laid.id JOIN main ON main.id = laid.id WHERE CAST(ts AS DATE) = {AT}),
-    asked AS (SELECT id, ts, sum(amount) AS a, 1 AS src FROM li WHERE l_returnflag <> 'R' AND second(ts) <> 0 AND l_shipdate < {AT} GROUP BY 1, 2
-      UNION ALL SELECT id, ts, amount, 0 FROM li WHERE l_returnflag = 'R' AND l_shipdate < {AT}),
-    picked AS (SELECT *, ts < TIMESTAMP '1998-05-21' AS opening FROM asked
-      QUALIFY row_number() OVER (PARTITION BY id, ts < TIMESTAMP '1998-05-21' ORDER BY src, ts DESC, a DESC) = 1),
-    edges AS (SELECT base.*, CASE WHEN approved = DATE '3000-01-01' THEN coalesce(y.a, w.a) ELSE w.a END AS closing FROM base JOIN picked x ON x.id = base.id AND x.opening
+      FROM laid JOIN base ON base.id = laid.id JOIN main ON main.id = laid.id WHERE CAST(ts AS DATE) = {at}),
+    asked AS (SELECT id, ts, sum(amount) AS a, 1 AS src FROM li WHERE l_returnflag <> 'R' AND second(ts) <> 0 AND l_shipdate < DATE '{last}' GROUP BY 1, 2
+      UNION ALL SELECT id, ts, amount, 0 FROM li WHERE l_returnflag = 'R' AND l_shipdate < DATE '{last}'),
+    picked AS (SELECT *, ts < TIMESTAMP '{first}' AS opening FROM asked
+      QUALIFY row_number() OVER (PARTITION BY id, ts < TIMESTAMP '{first}' ORDER BY src, ts DESC, a DESC) = 1),
+    edges AS (SELECT base.*, x.a AS opening, CASE WHEN approved = DATE '3000-01-01' THEN coalesce(y.a, w.a) ELSE w.a END AS closing FROM base JOIN picked x ON x.id = base.id AND x.opening
       JOIN (SELECT id, sum(amount) AS a FROM li GROUP BY 1) w ON w.id = base.id LEFT JOIN picked y ON y.id = base.id AND NOT y.opening
-      WHERE base.opened < DATE '1998-05-21' AND approved >= DATE '1998-05-21'),
+      WHERE base.opened < DATE '{first}' AND approved >= DATE '{first}'),
     tall AS ({" UNION ALL ".join(parts)}),
     people AS (SELECT DISTINCT 'E' || c_nationkey || '-' || o_orderkey % 4 AS e, 'D' || c_nationkey AS d FROM o JOIN c ON c_custkey = o_custkey),
     rolled AS (SELECT * FROM tall WHERE NOT (code IN ({head_codes}) AND employee LIKE 'E%-0')
       UNION ALL SELECT CASE WHEN n_regionkey <= 1 THEN 'MB' WHEN n_regionkey <= 3 THEN 'MN' END, d, 'E' || n_nationkey || '-0', code, sum(value)
       FROM tall JOIN people ON e = employee JOIN nation ON d = 'D' || n_nationkey WHERE code IN ({head_codes}) GROUP BY 1, 2, 3, 4)
-    SELECT {AT} AS day, '1998-06' AS report_month, CASE region WHEN 'MN' THEN 'Miền Nam' ELSE 'Miền Bắc' END AS region, dept AS department_code, employee AS employee_code, code, round(value, 2) AS value
+    SELECT {at} AS day, '{label}' AS report_month, CASE region WHEN 'MN' THEN 'Miền Nam' ELSE 'Miền Bắc' END AS region, dept AS department_code, employee AS employee_code, code, round(value, 2) AS value
     FROM rolled WHERE value <> 0 AND region IS NOT NULL"""
 
 
-@query("day VARCHAR, report_month VARCHAR, " + TALL, _kpi_sql())
+DATASET = "day VARCHAR, report_month VARCHAR, " + TALL
+
+
+@query(DATASET, _kpi_sql(AS_OF, "1998-06", "1998-05-21", "1998-06-20"))
 def kpi_dataset(t):
+    """The last day of a fiscal month, with the closing estimates."""
     return kpi.kpi_dataset(kpi_sources(t), AS_OF, save_intermediate).withColumn("value", F.round("value", 2))
+
+
+FIRST_DAY = "1998-06-21"
+
+
+@query(DATASET, _kpi_sql(FIRST_DAY, "1998-07", FIRST_DAY, "1998-07-20"))
+def kpi_dataset_opening(t):
+    """The first day of a fiscal month, with the opening estimates."""
+    return kpi.kpi_dataset(kpi_sources(t), FIRST_DAY, save_intermediate).withColumn("value", F.round("value", 2))

@@ -122,6 +122,39 @@ def test_metric_union_equals_separate_aggregations(spark):
     }
 
 
+def test_folded_facts_equal_separate_aggregations(spark):
+    df = facts(spark).withColumn("other", F.concat(F.lit("O"), "id"))
+    level = F.col("level")
+    own = [
+        kpi.Metric("n", "all"), kpi.Metric("s", "sum", None, F.col("v")), kpi.Metric("r", "rated", level == 1, F.col("v") * F.lit(0.5)),
+        kpi.Metric("none", "none", F.lit(False)), kpi.Metric("C", "Level ", level.between(1, 8), per=level.cast("string"), suffix="!"),
+    ]
+    other = [kpi.Metric("o", "others", level == 1)]
+    both = kpi.metric_facts(df, {"employee_code": own, "other": other}, "id").unionByName(
+        kpi.metric_facts(df.limit(0), {"employee_code": own}, "id")
+    )
+    got = kpi.fold_facts(both).withColumn("value", kpi.fact_value())
+    wanted = kpi.metric_union(df, own[:4], "id").unionByName(kpi.level_counts(df, "id", "C", "Level ", suffix="!"))
+    wanted = wanted.unionByName(kpi.metric_union(df.drop("employee_code").withColumnRenamed("other", "employee_code"), other, "id"))
+    columns = [*kpi.KEYS, "code", "name", "value"]
+    assert sorted(rows(got.select(*columns)), key=str) == sorted(rows(wanted.select(*columns)), key=str)
+    total = kpi.group_total(kpi.fold_facts(both), "s", "department_code", "t", "total").withColumn("value", kpi.fact_value())
+    want = kpi.broadcast_group_total(df, ["department_code"], F.col("v"), "t", "total")
+    assert sorted(rows(total.select(*columns)), key=str) == sorted(rows(want.select(*columns)), key=str)
+
+
+def test_a_day_of_kpis_is_folded_in_one_aggregation(spark, data_dir):
+    from tallyworks.plans.kpi import kpi_sources
+    from tallyworks.sources import Tables, save_intermediate
+
+    saved = []
+    sources = kpi_sources(Tables(spark, data_dir))
+    kpi.kpi_dataset(sources, "1998-06-20", lambda df, name: saved.append((name, df)) or save_intermediate(df, name))
+    assert [name for name, _ in saved] == ["claims", "metrics"]
+    plan = saved[1][1]._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
 def test_group_total_reaches_every_member(spark):
     got = kpi.broadcast_group_total(facts(spark), ["department_code"], F.col("v"), "t", "total")
     assert {r.employee_code: r.value for r in got.collect()} == {"E1": 22, "E2": 22, "E3": -4, "E4": 1}
