@@ -12,8 +12,9 @@ single task. The operators here cut the order into ranges instead:
    in two ranges, so at most two summary rows per split point are needed, and that table is
    broadcast.
 
-The sample decides only where the cuts are. Results are exact for any cuts. With keys, and no key
-large enough to fill a range, rows are not cut at all and one window per key does the work.
+The sample decides only where the cuts are. Results are exact for any cuts. With keys, only those
+are cut that hold more than about half a range of rows, into pieces of half a range; all others stay
+whole, with one window per key.
 """
 
 from __future__ import annotations
@@ -21,14 +22,21 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE_PER_RANGE = 64
-#: The driver holds the sample, at most so many ranges of it.
-MAX_RANGES = 4_096
+#: Estimated bytes of rows in a range. More ranges than shuffle partitions are taken for larger frames.
+RANGE_BYTES = 128 << 20
+#: Split points are a constant of the plan, so there are at most so many ranges.
+MAX_RANGES = 1 << 15
+#: Split points that are looked at for each range, so that keys of a part of a range are seen.
+FINE = 4
+#: A first sample of between a half and so many times the wanted size is good enough.
+GENEROUS = 16
 RANGE = "__range"
 
 
@@ -88,39 +96,75 @@ def _fields(df: DataFrame, order: Sequence[str]) -> list[_Field]:
     return out
 
 
-def split_points(
-    df: DataFrame, order: Sequence[str], ranges: int, per_range: int = SAMPLE_PER_RANGE
-) -> list[tuple[str | None, ...]]:
-    """Sorted split points, as text, one for every ``per_range`` of about ``ranges * per_range``
-    sampled rows; a value that fills several ranges comes several times. Every task keeps its share
-    of the sample only. Empty when the whole frame is smaller than the sample: one range is then
-    small enough by itself."""
-    ranges = min(ranges, MAX_RANGES)
-    wanted = ranges * per_range
-    total = df.count()
-    if total < wanted:
-        return []
-    fields = _fields(df, order)
+def _row_bytes(df: DataFrame) -> int:
+    """Bytes of a row by its types, as the optimizer counts them."""
+    return 8 + sum(f.jsonValue()["type"] == "string" and 20 or 8 for f in df.schema.fields)
+
+
+def _rows_guessed(df: DataFrame) -> float:
+    """Rows of the frame by the sizes of its inputs, which the optimizer knows without a job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(1.0, sum(sizes) / _row_bytes(df))
+
+
+def _sample_cuts(df: DataFrame, fields: Sequence[_Field], tiles: int, wanted: int, fraction: float):
+    """(total rows, sampled rows, first rows of all tiles but the first) from one job, which counts the
+    frame and samples it at once. Every task keeps a bounded sample, also when the fraction is too high:
+    the chance of a row falls with its place in its partition from ``wanted`` rows on."""
     names = [f"__k{i}" for i in range(len(fields))]
-    sampled = (
-        df.select(*[f.value.alias(n) for f, n in zip(fields, names)])
-        .filter(F.rand(20240131) < min(1.0, wanted / total))
-        # Only the sample meets in one partition; a global sort would sample and shuffle it again.
-        .repartition(1)
-        .sortWithinPartitions(
-            *[F.col(n).desc() if f.descending else F.col(n).asc() for f, n in zip(fields, names)]
-        )
-        .select(*[F.col(n).cast("string").alias(n) for n in names])
-        .collect()
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    row = F.struct(*[f.value.alias(n) for f, n in zip(fields, names)])
+    taken = F.rand(20240131) < F.least(F.lit(fraction), F.lit(float(wanted)) / place)
+    drawn = df.select(F.when(taken, row).alias("__row")).agg(
+        F.count(F.lit(1)).alias("__total"), F.collect_list("__row").alias("__rows")
     )
-    return [tuple(sampled[i * len(sampled) // ranges]) for i in range(1, ranges)] if sampled else []
+    by_order = W.orderBy(*[F.col(n).desc() if f.descending else F.col(n).asc() for f, n in zip(fields, names)])
+    tiled = (
+        drawn.select("__total", F.size("__rows").alias("__drawn"), F.explode_outer("__rows").alias("__row"))
+        .select("__total", "__drawn", "__row.*")
+        .withColumn("__tile", F.ntile(tiles).over(by_order))
+        .withColumn("__before", F.lag("__tile").over(by_order))
+    )
+    starts = tiled.filter(F.col("__before").isNull() | (F.col("__before") != F.col("__tile"))).select(
+        "__total", "__drawn", "__tile", *[F.col(n).cast("string").alias(n) for n in names]
+    )
+    rows = sorted(starts.collect(), key=lambda r: r["__tile"])
+    return rows[0]["__total"], rows[0]["__drawn"], [tuple(r)[3:] for r in rows[1:]]
 
 
-def _large_key(cuts: Sequence[tuple[str | None, ...]], width: int) -> bool:
-    """Whether one key holds two split points, so that it fills a whole range. Otherwise every key
-    has less than two ranges of rows and can stay in one task."""
-    keys = [cut[:width] for cut in cuts]
-    return any(a == b for a, b in zip(keys, keys[1:]))
+def split_points(
+    df: DataFrame, order: Sequence[str], ranges: int | None, per_range: int = SAMPLE_PER_RANGE, keys: int = 0
+) -> list[tuple[str | None, ...]]:
+    """Sorted split points as text, one less than there are ranges. With ``keys``, the number of leading
+    columns that are keys, only those inside keys that hold more than about half a range, half a range
+    apart. Empty when the whole frame is smaller than the sample: one range is then small enough.
+
+    The first sample takes a fraction guessed from the sizes of the inputs and counts the frame at the
+    same time; a second one follows only if that was far off or the frame needs more ranges."""
+    fields = _fields(df, order)
+    fine = max(1, min(FINE, per_range))
+    grows, ranges, fraction = ranges is None, min(MAX_RANGES, _ranges_wanted(df, ranges)), None
+    for last in (False, True):
+        wanted = ranges * per_range
+        fraction = fraction or min(1.0, 2 * wanted / _rows_guessed(df))
+        total, drawn, cuts = _sample_cuts(df, fields, ranges * fine, wanted, fraction)
+        if total < wanted:
+            return []
+        needed = min(MAX_RANGES, -(-total * _row_bytes(df) // RANGE_BYTES)) if grows else ranges
+        enough = drawn >= wanted / 2 and total * fraction <= GENEROUS * wanted
+        if last or (enough and needed <= ranges):
+            break
+        ranges = max(ranges, needed)
+        fraction = min(1.0, ranges * per_range / total)
+    if not keys:
+        return cuts[fine - 1 :: fine]
+    found, step = [], max(1, fine // 2)
+    for _, group in groupby(cuts, lambda cut: cut[:keys]):
+        inside = list(group)
+        if len(inside) > step:
+            found += inside[::step]
+    return found
 
 
 def _typed_array(values: Sequence[str | None], kind: str) -> Column:
@@ -205,10 +249,7 @@ def ordered_scan(
     fill_down, fill_up = fill_down or {}, fill_up or {}
     keys = list(keys)
     full_order = keys + list(order)
-    cuts = split_points(df, full_order, _ranges_wanted(df, ranges), per_range)
-    if keys and not _large_key(cuts, len(keys)):
-        cuts = []
-    cuts = list(dict.fromkeys(cuts))
+    cuts = list(dict.fromkeys(split_points(df, full_order, ranges, per_range, len(keys))))
     ranged = with_range(df, full_order, cuts)
 
     by_order = order_columns(order)
@@ -406,8 +447,8 @@ def ordered_concat(
     full_order = keys + list(order)
     if options.get("save") is not None:
         df = options["save"](df, "concat-input")
-    ranges = _ranges_wanted(df, options.get("ranges"))
-    cuts = split_points(df, full_order, ranges, options.get("per_range", SAMPLE_PER_RANGE))
+    per_range = options.get("per_range", SAMPLE_PER_RANGE)
+    cuts = list(dict.fromkeys(split_points(df, full_order, options.get("ranges"), per_range, len(keys))))
     ordering = ", ".join(f"`{c}` DESC" if desc else f"`{c}`" for c, desc in order_terms(order))
     quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -416,9 +457,9 @@ def ordered_concat(
             f"listagg(cast(`{column}` as string), '{quoted}') within group (order by {within})"
         ).alias(alias)
 
-    if not _large_key(cuts, len(keys)):
+    if not cuts:
         return df.groupBy(*keys).agg(*[listed(c, ordering, out) for out, c in values.items()])
-    ranged = with_range(df, full_order, list(dict.fromkeys(cuts)))
+    ranged = with_range(df, full_order, cuts)
     pieces = ranged.groupBy(*keys, RANGE).agg(
         *[listed(c, ordering, out) for out, c in values.items()]
     )

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyworks.operators import ordering
 from tallyworks.operators.ordering import (
     dense_rank_all,
     next_ids,
@@ -146,11 +147,46 @@ def test_cuts_at_many_ranges(spark):
     assert {r.id: r.n for r in got.collect()} == {r.id: r.n for r in want.collect()}
 
 
-def test_the_sample_is_taken_in_the_tasks(spark):
-    from tallyworks.operators import ordering
-
-    df = spark.range(20_000).withColumn("k", F.when(F.col("id") < 18_000, 1).otherwise(F.col("id")))
-    cuts = ordering.split_points(df, ["k"], 4, 16)
-    assert len(cuts) == 3 and ordering._large_key(cuts, 1)
-    cut = ordering.ordered_scan(df.withColumn("one", F.lit(1)), ["id"], ["k"], running={"n": "one"}, ranges=4, per_range=16)
-    assert cut.filter("k = 1").agg(F.max("n")).first()[0] == 18_000
+def test_hot_keys_are_cut_and_others_stay_whole(spark):
+    """At 200 ranges a key with 1 % of the rows is cut, one with 0.1 % is not, and no (range, key) holds
+    more than a range of rows."""
+    n, target = 200_000, 1_000
+    share = F.col("id") % 1_000
+    key = F.when(share < 300, -1).when(share < 310, -2).when(share < 311, -3).otherwise(F.col("id") % 20_000)
+    df = spark.range(0, n, 1, 7).withColumn("k", key).withColumn("one", F.lit(1))
+    cuts = ordering.split_points(df, ["k", "id"], 200, keys=1)
+    cut_keys = {c[0] for c in cuts}
+    assert {"-1", "-2"} <= cut_keys and "-3" not in cut_keys and len(cut_keys) == 2
+    ranged = ordering.with_range(df, ["k", "id"], cuts)
+    sizes = ranged.groupBy("k", ordering.RANGE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= target
+    assert sizes.filter("k >= -3 and k <> -1 and k <> -2").groupBy("k").count().agg(F.max("count")).first()[0] == 1
+    got = ordered_scan(df, ["id"], ["k"], running={"n": "one"}, previous={"p": "id"}, ranges=200)
+    assert got.filter("k = -1").agg(F.max("n"), F.count_if(F.col("p").isNull())).first() == (n * 3 // 10, 1)
+    joined = ordered_concat(df.filter("k < 0"), ["k"], {"j": "one"}, ["id"], "", ranges=200)
+    assert {r.k: len(r.j) for r in joined.collect()} == {-1: 60_000, -2: 2_000, -3: 200}
+
+
+@pytest.mark.parametrize("guess", [1.0, 20_000.0, 10.0**9])
+def test_frames_are_counted_with_the_sample(spark, monkeypatch, guess):
+    """One job where the guessed size is about right, a second one where it is far off."""
+    df = spark.range(0, 50_000, 1, 5).withColumn("k", F.when(F.col("id") < 45_000, 1).otherwise(F.col("id")))
+    seen = []
+    inner = ordering._sample_cuts
+    monkeypatch.setattr(ordering, "_rows_guessed", lambda df: guess)
+    monkeypatch.setattr(ordering, "_sample_cuts", lambda *a: seen.append(inner(*a)) or seen[-1])
+    cuts = ordering.split_points(df, ["k"], 4, 16, keys=1)
+    assert {c[0] for c in cuts} == {"1"} and len(cuts) >= 6
+    assert all(total == 50_000 for total, _, _ in seen) and max(drawn for _, drawn, _ in seen) < 5_000
+    assert len(seen) == (1 if guess == 20_000.0 else 2)
+    assert ordering.split_points(df.limit(0), ["k"], 4, 16) == [] == ordering.split_points(df.limit(60), ["k"], 4, 16)
+    assert len(ordering.split_points(df, ["id"], 4, 16)) == 3
+
+
+def test_large_frames_get_more_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_BYTES", 16_000)
+    df = spark.range(20_000)
+    cuts = ordering.split_points(df, ["id"], None, 16)
+    assert len(cuts) == -(-20_000 * ordering._row_bytes(df) // 16_000) - 1
+    got = number_rows(df, ["id"], "n", per_range=16)
+    assert got.filter("n = id + 1").count() == 20_000
