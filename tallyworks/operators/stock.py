@@ -285,8 +285,12 @@ def scan_out(
 
     Stock is divided by the packing of its item first where the item's lines are in the sales unit
     (``items`` has id and packing). A piece holds what is allocated in that unit (quantity9) and times
-    the packing (quantity). Stock that fits no line opens a new one, in its own unit."""
-    located = open_lines(fill_location(lines, stock, warehouses), warehouses, **options)
+    the packing (quantity). Stock that fits no line opens a new one, in its own unit. ``save`` in the
+    options writes the located lines, the new lines and the new pieces once, as each is read several
+    times."""
+    save = options.get("save") or (lambda frame, name: frame)
+    scans = {k: v for k, v in options.items() if k != "save"}
+    located = save(open_lines(fill_location(lines, stock, warehouses), warehouses, **scans), "located-lines")
     supply = sales_stock(stock.filter(F.col("quantity") > 0), located, items, doc_code)
     open_demand = located.filter((F.col("enough") == 0) & (F.col("scan_order") > 0))
     given = allocate_fifo(
@@ -295,8 +299,7 @@ def scan_out(
     )
     rolls = ["item_id", "warehouse_id", "roll_code"]
     packings = supply.groupBy(*rolls).agg(F.max("packing").alias("packing"))
-    scans = {k: v for k, v in options.items() if k != "save"}
-    fresh = unmatched_supply(supply.drop("quantity9", "packing"), located, **scans)
+    fresh = save(unmatched_supply(supply.drop("quantity9", "packing"), located, **scans), "new-lines")
     new_pieces = given.join(packings, rolls).select(
         *rolls,
         F.col("allocated").cast("decimal(28,4)").alias("quantity9"),
@@ -310,6 +313,7 @@ def scan_out(
             F.col("id").cast("bigint").alias("parent_id"),
         )
     )
+    new_pieces = save(new_pieces, "new-pieces")
     numbered = next_ids(new_pieces, ["parent_id", "roll_code"], pieces, "id", "id", negative=True, **scans)
     all_pieces = pieces.unionByName(numbered, allowMissingColumns=True)
     all_lines = located.unionByName(fresh.drop("roll_code"), allowMissingColumns=True)
