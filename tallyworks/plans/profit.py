@@ -199,8 +199,8 @@ def base_metrics(t):
 
 
 # Each formula of the first table written out over base metrics.
-FIRST_SQL = f"""{BASE_SQL}, a3 AS (SELECT 3 AS stt, 'A3' AS ma_so, branch, division, sum(CASE WHEN kpi = 'K4' THEN amount ELSE -amount END) AS amount FROM gl WHERE kpi IN ('K4', 'K5') GROUP BY 3, 4),
-  known AS (SELECT * FROM base UNION ALL SELECT * FROM a3),
+FORMULA_SQL = """a3 AS (SELECT 3 AS stt, 'A3' AS ma_so, branch, division, sum(CASE WHEN kpi = 'K4' THEN amount ELSE -amount END) AS amount FROM gl WHERE kpi IN ('K4', 'K5') GROUP BY 3, 4),
+  known AS (SELECT * FROM base UNION ALL SELECT * FROM adj UNION ALL SELECT * FROM a3),
   coef(stt, m, t, k) AS (VALUES (7, 'B1', 'A1', 1), (7, 'B1', 'A2', 1), (7, 'B1', 'A3', -1),
     (8, 'B2', 'A1', 1), (8, 'B2', 'A2', 1), (8, 'B2', 'A3', -1), (8, 'B2', 'A4', 1), (8, 'B2', 'A5', -1),
     (9, 'C1', 'A1', 0), (9, 'C1', 'A2', 0), (9, 'C1', 'A3', 0), (9, 'C1', 'A4', 1), (9, 'C1', 'A5', -1), (9, 'C1', 'A6', 1)),
@@ -209,6 +209,12 @@ FIRST_SQL = f"""{BASE_SQL}, a3 AS (SELECT 3 AS stt, 'A3' AS ma_so, branch, divis
   defs(stt, m) AS (VALUES (1, 'A1'), (2, 'A2'), (3, 'A3'), (4, 'A4'), (5, 'A5'), (6, 'A6'), (7, 'B1'), (8, 'B2'), (9, 'C1'), (10, 'Z1')),
   t1 AS (SELECT * FROM filled UNION ALL SELECT stt, m, b, 'INDIV', 0 FROM defs, (SELECT DISTINCT branch AS b FROM gl)
     WHERE NOT EXISTS (SELECT 1 FROM filled f WHERE f.ma_so = m AND f.branch = b))"""
+# The manual amounts of ``adjustment_rows``, one row for each branch and division.
+ADJUSTED_SQL = """SELECT 4 AS stt, 'A4' AS ma_so, 'VN0010' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS branch,
+      CASE c_mktsegment WHEN 'BUILDING' THEN 'INDIV' ELSE 'FI' END AS division, sum(o_totalprice) AS amount
+    FROM o JOIN c ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD') GROUP BY 3, 4"""
+FIRST_SQL = f"{BASE_SQL}, adj AS (SELECT * FROM base WHERE false), {FORMULA_SQL}"
+ADJUSTED_FIRST_SQL = f"{BASE_SQL}, adj AS ({ADJUSTED_SQL}), {FORMULA_SQL}"
 
 
 @query(
@@ -249,9 +255,9 @@ def unpivot_adjustments(t):
     return profit.unpivot_adjustments(adjustment_rows(t), definitions(t), ["INDIV", "FI", "SMEs"])
 
 
-def table_one(t):
+def table_one(t, adjustments=None):
     values = save_intermediate(ledger_values(t), "ledger-values")
-    return profit.first_table(definitions(t), values, other_sources(t), save=save_intermediate)
+    return profit.first_table(definitions(t), values, other_sources(t), adjustments, save=save_intermediate)
 
 
 @query(
@@ -262,20 +268,6 @@ def zero_fill(t):
     return table_one(t)
 
 
-SECOND_SQL = f"""{FIRST_SQL}, b2 AS (SELECT stt, ma_so, branch, division, CASE WHEN stt IN (2, 5, 10) THEN 0 ELSE amount END AS amount FROM t1 WHERE stt IN (1, 2, 3, 4, 5, 6, 10)),
-  coef2(stt, m, t, k) AS (VALUES (7, 'B1', 'A1', 1), (7, 'B1', 'A3', 1), (8, 'B2', 'A1', 1), (8, 'B2', 'A3', 1), (8, 'B2', 'A6', -1),
-    (9, 'C1', 'A1', 2), (9, 'C1', 'A3', 2), (9, 'C1', 'A6', -1)),
-  t2 AS (SELECT * FROM b2 UNION ALL SELECT coef2.stt, m, branch, division, sum(k * amount) FROM b2 JOIN coef2 ON t = ma_so GROUP BY 1, 2, 3, 4)"""
-
-
-@query(
-    VALUE,
-    f"WITH {SECOND_SQL} SELECT stt, ma_so, branch AS branch_code, division AS division_code, amount FROM t2",
-)
-def second_table(t):
-    return profit.second_table(definitions(t), table_one(t))
-
-
 WIDE = "stt BIGINT, branch_code VARCHAR, ma_so VARCHAR, total DOUBLE, " + ", ".join(
     f"{d} DOUBLE" for d in profit.DIVISIONS
 )
@@ -292,6 +284,28 @@ def _pivot_sql(source: str, suffix: str = "") -> str:
     )
 
 
+@query(WIDE, f"WITH {ADJUSTED_FIRST_SQL} {_pivot_sql('t1')}")
+def first_table_adjusted(t):
+    """Manual amounts are base values: they enter the formulas and the totals of their branch."""
+    metrics = definitions(t)
+    added = profit.unpivot_adjustments(adjustment_rows(t), metrics, ["INDIV", "FI", "SMEs"])
+    return profit.pivot_with_total(table_one(t, added))
+
+
+SECOND_SQL = f"""{FIRST_SQL}, b2 AS (SELECT stt, ma_so, branch, division, CASE WHEN stt IN (2, 5, 10) THEN 0 ELSE amount END AS amount FROM t1 WHERE stt IN (1, 2, 3, 4, 5, 6, 10)),
+  coef2(stt, m, t, k) AS (VALUES (7, 'B1', 'A1', 1), (7, 'B1', 'A3', 1), (8, 'B2', 'A1', 1), (8, 'B2', 'A3', 1), (8, 'B2', 'A6', -1),
+    (9, 'C1', 'A1', 2), (9, 'C1', 'A3', 2), (9, 'C1', 'A6', -1)),
+  t2 AS (SELECT * FROM b2 UNION ALL SELECT coef2.stt, m, branch, division, sum(k * amount) FROM b2 JOIN coef2 ON t = ma_so GROUP BY 1, 2, 3, 4)"""
+
+
+@query(
+    VALUE,
+    f"WITH {SECOND_SQL} SELECT stt, ma_so, branch AS branch_code, division AS division_code, amount FROM t2",
+)
+def second_table(t):
+    return profit.second_table(definitions(t), table_one(t))
+
+
 @query(WIDE, f"WITH {FIRST_SQL} {_pivot_sql('t1')}")
 def pivot_with_total(t):
     return profit.pivot_with_total(table_one(t))

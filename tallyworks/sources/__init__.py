@@ -4,7 +4,9 @@ from tallyworks.sources.sinks import (
     committed_tables,
     committed_versions,
     drop_old_versions,
+    partitioned_table,
     replace_partition,
+    replace_partitions,
     rows_to_xml,
     save_intermediate,
     scratch_dir,
@@ -20,7 +22,9 @@ __all__ = [
     "read_csv",
     "read_jdbc",
     "read_partition",
+    "partitioned_table",
     "replace_partition",
+    "replace_partitions",
     "rows_to_xml",
     "save_intermediate",
     "scratch_dir",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -10,15 +11,52 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyworks.operators.ordering import ordered_concat
 
 
+#: Folder of a partitioned table that holds its schema; readers of data pass over it.
+SCHEMA_FOLDER = "_schema"
+
+
+def partition_folder(df: DataFrame, column: str, value) -> str:
+    """The folder of a partition as Spark itself names it: characters that paths cannot have are
+    escaped, and NULL has a name of its own."""
+    spark = df.sparkSession
+    text = spark.range(1).select(F.lit(value).cast(df.schema[column].dataType).cast("string")).first()[0]
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, text)
+
+
 def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
     """Write one partition so that a second run gives the same table: the old rows of that value
-    go away, also when the new run has none. Other partitions are not touched."""
-    part = df.filter(F.col(column) == F.lit(value)).drop(column)
-    part.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    go away, also when the new run has none. Other partitions are not touched. NULL is a value."""
+    part = df.filter(F.col(column).eqNullSafe(F.lit(value))).drop(column)
+    part.write.mode("overwrite").parquet(f"{path}/{partition_folder(df, column, value)}")
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence) -> None:
+    """Write several partitions in one job, each as ``replace_partition`` does, and the schema of the
+    table beside them, so that values come back in their own type. Rows of other values are left out."""
+    spark, texts = df.sparkSession, [v for v in values if v is not None]
+    wanted = F.col(column).isin(*texts) if texts else F.lit(False)
+    if len(texts) < len(values):
+        wanted = wanted | F.col(column).isNull()
+    part = df.filter(wanted)
+    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    # Values without rows in this run still have what an earlier one wrote.
+    filled = {r[0] for r in part.select(column).distinct().collect()}
+    for value in values:
+        if value not in filled:
+            replace_partition(df.limit(0), path, column, value)
+    schema = spark.range(1).select(F.lit(df.schema.json()).alias("value"))
+    schema.write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+
+
+def partitioned_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``replace_partitions`` with the schema that was written."""
+    text = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()[0]
+    return spark.read.schema(StructType.fromJson(json.loads(text))).parquet(path)
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:

@@ -5,7 +5,7 @@ from conftest import rows, table
 from pyspark.sql import functions as F
 
 from tallyworks.operators import profile
-from tallyworks.sources import Tables, read_csv, read_partition, save_intermediate
+from tallyworks.sources import Tables, partitioned_table, read_csv, read_partition, replace_partition, replace_partitions, save_intermediate
 
 CLAIM = "claim_id bigint, motor_category string, unit_code string, car_price double, business_car_flag string, amount double, system_date date"
 
@@ -86,3 +86,32 @@ def test_saved_frame_equals_its_source(spark, data_dir):
     saved = save_intermediate(nation, "nation")
     assert sorted(rows(saved)) == sorted(rows(nation))
     assert spark.conf.get("spark.checkpoint.dir") in saved.inputFiles()[0]
+
+
+VALUES = ["a/b", "k=v:w", "100%", " x ", "#?*[0]", "007", "é", None]
+
+
+def test_partition_values_come_back_equal(spark, tmp_path):
+    """Characters that paths cannot have, texts that look like numbers, and NULL."""
+    path, values = str(tmp_path / "t"), VALUES
+    df = table(spark, "d string, v int", *[(v, i) for i, v in enumerate(values)], ("other", 99))
+    replace_partitions(df, path, "d", values[:4])
+    replace_partitions(df, path, "d", values[4:])
+    got = partitioned_table(spark, path)
+    assert {(r.d, r.v) for r in got.collect()} == {(v, i) for i, v in enumerate(values)} and got.schema["d"].dataType.simpleString() == "string"
+    # A second run replaces: one value has new rows, one has none, the others stay.
+    again = table(spark, "d string, v int", ("a/b", 50), ("a/b", 51))
+    replace_partitions(again, path, "d", ["a/b", None])
+    want = {(v, i) for i, v in enumerate(values) if v not in ("a/b", None)} | {("a/b", 50), ("a/b", 51)}
+    assert {(r.d, r.v) for r in partitioned_table(spark, path).collect()} == want
+    for value in values:
+        replace_partition(df.filter("v < 0"), path, "d", value)
+    assert partitioned_table(spark, path).count() == 0
+
+
+def test_partitions_of_days_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = D(2025, 1, 2)
+    df = table(spark, "day date, v int", (day, 1), (None, 2))
+    replace_partitions(df, path, "day", [day, None, D(2025, 1, 3)])
+    assert {tuple(r) for r in partitioned_table(spark, path).select("day", "v").collect()} == {(day, 1), (None, 2)}
