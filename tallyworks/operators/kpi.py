@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyworks.functions import fiscal_period, root_code, weekday_gap
-from tallyworks.operators.joins import broadcast_if_small
+from tallyworks.operators.joins import SMALL_BYTES, broadcast_if_small, is_small
 from tallyworks.operators.ordering import ordered_scan
 from tallyworks.operators.ranking import first_rows
 from tallyworks.operators.temporal import OPEN_DATE, map_codes, milestones
@@ -27,16 +27,50 @@ def band_join(
     low: str,
     high: str,
     how: str = "left",
+    max_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Band columns of the band that holds the value, bounds included, within the same code."""
+    """Band columns of the band that holds the value, bounds included, within the same code. A fact in
+    several bands comes once for each; NULL codes, values and bounds match nothing.
+
+    Few codes and many facts: a shuffle by code would pile the facts up in as many tasks. Bands of a
+    measured size are broadcast, others are found by bins (``band_matches``)."""
     on = list(on)
+    if not is_small(bands, max_bytes=max_bytes):
+        pairs = fact.select(*on, value).distinct()
+        return fact.join(band_matches(pairs, bands, on, value, low, high), [*on, value], how).select(
+            *fact.columns, *[c for c in bands.columns if c not in (*on, low, high)]
+        )
     condition = F.col(f"f.{value}").between(F.col(f"b.{low}"), F.col(f"b.{high}"))
     for c in on:
         condition = condition & (F.col(f"f.{c}") == F.col(f"b.{c}"))
     extra = [F.col(f"b.{c}") for c in bands.columns if c not in (*on, low, high)]
-    # Few codes and many facts: a shuffle by code would pile the facts up in as many tasks.
-    small = broadcast_if_small(bands.alias("b"))
-    return fact.alias("f").join(small, condition, how).select("f.*", *extra)
+    return fact.alias("f").join(F.broadcast(bands.alias("b")), condition, how).select("f.*", *extra)
+
+
+def band_matches(
+    pairs: DataFrame, bands: DataFrame, on: Sequence[str], value: str, low: str, high: str
+) -> DataFrame:
+    """Every distinct (code, value) with the columns of the bands that hold the value.
+
+    A band belongs to the level of the next power of two above its width and lies in at most three bins
+    of it, as wide as that power. A value is looked up in its bin at every level that bands have, by
+    equality of code, level and bin; the bounds are checked then. Bins are numbered by one rising
+    function of value and bounds, so a band that holds a value shares its bin, whatever the rounding."""
+    on = list(on)
+
+    def bin_of(column: str, level: Column) -> Column:
+        return F.floor(F.col(column).cast("double") / F.pow(F.lit(2.0), level)).cast("bigint")
+
+    width = F.greatest(F.col(high).cast("double") - F.col(low).cast("double"), F.lit(2.0**-40))
+    dealt = bands.filter(F.col(low) <= F.col(high)).withColumn("__level", F.ceil(F.log2(width)).cast("int"))
+    levels = sorted(r[0] for r in dealt.select("__level").distinct().collect())  # one for each power of two
+    bins = F.sequence(bin_of(low, F.col("__level")), bin_of(high, F.col("__level")))
+    dealt = dealt.withColumn("__bin", F.explode(bins))
+    at_levels = F.explode(F.array(*[F.lit(level) for level in levels]) if levels else F.array().cast("array<int>"))
+    asked = pairs.filter(F.col(value).isNotNull()).withColumn("__level", at_levels)
+    asked = asked.withColumn("__bin", bin_of(value, F.col("__level")))
+    met = asked.join(dealt, [*on, "__level", "__bin"]).filter(F.col(value).between(F.col(low), F.col(high)))
+    return met.select(*on, value, *[c for c in bands.columns if c not in (*on, low, high)])
 
 
 def overlapping_bands(bands: DataFrame, on: Sequence[str], low: str, high: str) -> DataFrame:

@@ -74,6 +74,24 @@ def band_join(t):
     return levelled_orders(t)
 
 
+@query(
+    "l_orderkey BIGINT, l_linenumber BIGINT, band_order BIGINT",
+    """SELECT l.l_orderkey, l.l_linenumber, b.l_orderkey AS band_order FROM l LEFT JOIN
+      (SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice - l_quantity AS lo, l_extendedprice + l_quantity * l_linenumber AS hi FROM l WHERE l_returnflag = 'A') b
+      ON b.l_partkey = l.l_partkey AND l.l_extendedprice BETWEEN lo AND hi""",
+)
+def band_join_by_bins(t):
+    """Lines as bands of prices around their own, of very different widths: as many bands as facts, so
+    they are found by bins and not sent to all tasks."""
+    price = F.col("l_extendedprice")
+    bands = t.lineitem.filter(F.col("l_returnflag") == "A").select(
+        "l_partkey", (price - F.col("l_quantity")).alias("lo"), (price + F.col("l_quantity") * F.col("l_linenumber")).alias("hi"),
+        F.col("l_orderkey").alias("band_order"),
+    )
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return kpi.band_join(lines, bands, ["l_partkey"], "l_extendedprice", "lo", "hi", max_bytes=0)
+
+
 @query(
     "o_orderpriority VARCHAR, level BIGINT",
     "SELECT DISTINCT o_orderpriority, l AS level FROM o, (VALUES (2), (3), (4), (5), (6), (7), (8)) v(l)",

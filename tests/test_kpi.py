@@ -202,3 +202,30 @@ def test_edge_metrics_only_on_their_days(spark, data_dir, day):
     assert ("GD_GT_HSBT_ton_dau_ky" in codes) == day.endswith("21")
     assert ("GD_GT_HSBT_ton_cuoi_ky" in codes) == day.endswith("20")
     assert "GD_HSBT_ton_dau_ky" in codes
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_band_join_by_bins_equals_the_broadcast_join(spark, how):
+    """Overlapping and nested bands, points, empty and NULL bounds, values on bounds and a hot value."""
+    import random
+
+    rnd = random.Random(4)
+    money = lambda: Dec(rnd.choice([rnd.randrange(-500, 500), rnd.randrange(10**7)])) / 100
+    data = []
+    for i in range(150):
+        low = money()
+        data.append((rnd.choice(["a", "b"]), low, low + Dec(rnd.choice([0, 1, 99, 5_000, 10**8])) / 100, i))
+    data += [("a", Dec(5), Dec(1), 900), ("a", None, Dec(9), 901), (None, Dec(0), Dec(9), 902), ("c", Dec("-0.01"), Dec("0.01"), 903)]
+    bounds = [x for _, low, high, _ in data for x in (low, high) if x is not None]
+    facts = [(i, rnd.choice(["a", "b", "c", None]), rnd.choice([rnd.choice(bounds), money(), None])) for i in range(400)]
+    facts += [(1_000 + i, "a", Dec("1.00")) for i in range(200)]
+    fact = table(spark, "id int, code string, v decimal(18,2)", *facts)
+    found = table(spark, "code string, lo decimal(18,2), hi decimal(18,2), level int", *data)
+    small = kpi.band_join(fact, found, ["code"], "v", "lo", "hi", how)
+    binned = kpi.band_join(fact, found, ["code"], "v", "lo", "hi", how, max_bytes=0)
+    assert binned.columns == small.columns and sorted(rows(binned), key=str) == sorted(rows(small), key=str)
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "hashpartitioning(code#" in plan
+    by_code = [x for x in plan.splitlines() if "Exchange hashpartitioning(code#" in x and x.split("hashpartitioning(")[1].count("#") == 1]
+    assert not by_code
+    assert kpi.band_join(fact, found.limit(0), ["code"], "v", "lo", "hi", "left", max_bytes=-1).count() == 600
