@@ -56,6 +56,57 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+#: Size of a distinct-count sketch (2^14 registers): its estimate is within 0.8 % of the count for two thirds
+#: of all sets, within 2.5 % for 99.7 %. Quantile sketches are within 1.7 % of the rank for 99 %.
+SKETCH_BITS = 14
+DISTINCT_ERROR, RANK_ERROR = 0.025, 0.017
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def column_sketches(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per column, and per value of ``by``: rows, missing, a sketch of the distinct values and, for
+    numbers, one of the quantiles. Sketches have a bounded size, are formed in the map tasks, and those
+    of parts of a table, stored per part, give the profile of the whole (``merge_sketches``)."""
+    columns = [f for f in df.schema.fields if f.name not in by]
+    shown = []
+    for field in columns:
+        value, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        number = value.cast("double") if kind.split("(")[0] in _NUMBERS else F.lit(None).cast("double")
+        shown.append(
+            F.struct(
+                F.lit(field.name).alias("column"),
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(value.isNull()).alias("missing"),
+                F.hll_sketch_agg(value.cast("string"), SKETCH_BITS).alias("distinct_sketch"),
+                F.kll_sketch_agg_double(number).alias("quantile_sketch"),
+            )
+        )
+    cells = df.groupBy(*by).agg(F.array(*shown).alias("cells"))
+    return cells.select(*by, F.explode("cells").alias("cell")).select(*by, "cell.*")
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of parts to those of their union."""
+    return sketches.groupBy(*by, "column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("missing").alias("missing"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
+        F.kll_merge_agg_double("quantile_sketch").alias("quantile_sketch"),
+    )
+
+
+def sketch_profile(sketches: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """rows and missing, exact, and distinct_about and quantiles_about with the errors named above;
+    quantiles are NULL for columns without numbers. ``profile`` gives exact distinct counts."""
+    held = F.kll_sketch_get_n_double("quantile_sketch") > 0
+    points = F.array(*[F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(float(q))) for q in quantiles])
+    return sketches.select(
+        *[c for c in sketches.columns if not c.endswith("_sketch")],
+        F.hll_sketch_estimate("distinct_sketch").alias("distinct_about"),
+        F.when(held, points).alias("quantiles_about"),
+    )
+
+
 def duplicate_rows(df: DataFrame, name: str = "duplicates") -> DataFrame:
     """Number of rows that repeat an earlier row."""
     return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n")).agg(

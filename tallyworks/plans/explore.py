@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyworks.operators import profile as explore
 from tallyworks.plans.registry import query, ratio_sql
+from tallyworks.sources import partitioned_table, replace_partitions, save_intermediate, scratch_dir
 
 
 def _profile_sql(columns: list[tuple[str, str, str]]) -> str:
@@ -30,6 +34,35 @@ def profile(t):
     return explore.profile(t.orders.withColumn("o_orderstatus", known))
 
 
+@query(
+    "column VARCHAR, rows BIGINT, missing BIGINT, distinct_fits BIGINT, median_fits BIGINT",
+    """SELECT c AS "column", n AS rows, missing, 1 AS distinct_fits, 1 AS median_fits FROM (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS p FROM o),
+      LATERAL (VALUES ('o_orderkey', 0), ('o_custkey', 0), ('o_orderstatus', p), ('o_totalprice', 0), ('o_orderdate', 0), ('o_orderpriority', 0)) v(c, missing)""",
+)
+def profile_sketches(t):
+    """Sketches of every year of orders, stored per year and merged, held against exact values: whether
+    the distinct count and the rank of the median are within the stated errors."""
+    known = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    orders = t.orders.withColumn("o_orderstatus", known)
+    yearly = save_intermediate(explore.column_sketches(orders.withColumn("order_year", F.year("o_orderdate")), ["order_year"]), "year-sketches")
+    path = os.path.join(scratch_dir(t.spark), f"sketches-{uuid.uuid4().hex}")
+    years = sorted(r[0] for r in yearly.select("order_year").distinct().collect())
+    replace_partitions(yearly, path, "order_year", years)
+    about = explore.sketch_profile(explore.merge_sketches(partitioned_table(t.spark, path)), (0.5,))
+    exact = explore.profile(orders).select("column", "distinct")
+    edges = [F.lit(0.5 - 2 * explore.RANK_ERROR), F.lit(0.5 + 2 * explore.RANK_ERROR)]
+    numbers = ["o_orderkey", "o_custkey", "o_totalprice"]
+    bounds = orders.agg(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.percentile(F.col(c).cast("double"), F.array(*edges)).alias("bounds")) for c in numbers]).alias("all")
+    ).select(F.inline("all"))
+    median = F.col("quantiles_about")[0]
+    fits = F.abs(F.col("distinct_about") - F.col("distinct")) <= F.col("distinct") * (2 * explore.DISTINCT_ERROR)
+    inside = F.coalesce(median.between(F.col("bounds")[0], F.col("bounds")[1]), F.col("bounds").isNull() & median.isNull())
+    return about.join(exact, "column").join(bounds, "column", "left").select(
+        "column", "rows", "missing", fits.cast("int").alias("distinct_fits"), inside.cast("int").alias("median_fits")
+    )
+
+
 @query(
     "duplicates BIGINT",
     """SELECT sum(n - 1) AS duplicates FROM (SELECT count(*) AS n FROM l GROUP BY l_partkey, l_linenumber, l_returnflag, l_quantity)""",

@@ -115,3 +115,25 @@ def test_partitions_of_days_keep_their_type(spark, tmp_path):
     df = table(spark, "day date, v int", (day, 1), (None, 2))
     replace_partitions(df, path, "day", [day, None, D(2025, 1, 3)])
     assert {tuple(r) for r in partitioned_table(spark, path).select("day", "v").collect()} == {(day, 1), (None, 2)}
+
+
+def test_stored_sketches_merge_to_the_profile_of_the_whole(spark, tmp_path):
+    """Two days are written, one of them again: only its partition changes, and the merged sketches give what
+    one pass over all rows gives, within the stated errors of the exact values."""
+    path = str(tmp_path / "sketches")
+    df = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") < 25_000, "d1").otherwise("d2").alias("day"), (F.col("id") % 9_000).alias("k"),
+        F.when(F.col("id") % 10 > 0, F.concat(F.lit("t"), F.col("id") % 700)).alias("t"), (F.col("id") * F.lit(0.5)).alias("x"), F.lit(None).cast("int").alias("none"),
+    )
+    for day in ("d1", "d2"):
+        replace_partitions(profile.column_sketches(df.filter(F.col("day") == day), ["day"]), path, "day", [day])
+    files = {f for f in spark.read.parquet(path).inputFiles() if "day=d1" in f}
+    replace_partitions(profile.column_sketches(df.filter("day = 'd2'"), ["day"]), path, "day", ["d2"])
+    assert files == {f for f in spark.read.parquet(path).inputFiles() if "day=d1" in f}
+    got = {r.column: r for r in profile.sketch_profile(profile.merge_sketches(partitioned_table(spark, path))).collect()}
+    assert {c: (r.rows, r.missing) for c, r in got.items()} == {"k": (40_000, 0), "t": (40_000, 4_000), "x": (40_000, 0), "none": (40_000, 40_000)}
+    for column, exact in (("k", 9_000), ("t", 630), ("x", 40_000)):
+        assert abs(got[column].distinct_about - exact) <= profile.DISTINCT_ERROR * exact + 1
+    assert got["none"].distinct_about == 0 and got["none"].quantiles_about is None and got["t"].quantiles_about is None
+    for q, value in zip((0.25, 0.5, 0.75), got["x"].quantiles_about):
+        assert abs(value / 20_000 - q) <= 2 * profile.RANK_ERROR
