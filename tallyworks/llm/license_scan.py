@@ -17,18 +17,35 @@ PHRASES = {
     "apache license": "apache",
     "general public license": "gpl",
 }
-# Notices as words with single spaces, by label.
+# Notices as words with single spaces, by label, with the words that name the license.
 NOTICES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("licensed under the gnu general public license version", "gpl"),
-    ("this program is free software you can redistribute it and or modify it", "gpl"),
-    ("redistribution and use in source and binary forms with or without modification", "bsd"),
-    ("subject to the terms of the mozilla public license", "mpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("licensed under a creative commons attribution", "cc-by"),
+    ("released under the mit license", "mit", "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", ""),
+    ("released under the isc license", "isc", "isc"),
+    ("released under the bsd license", "bsd", "bsd"),
+    ("redistribution and use in source and binary forms with or without modification", "bsd", ""),
+    ("licensed under the apache license version 2 0", "apache", "apache"),
+    ("licensed under the gnu general public license version", "gpl", "gnu general public"),
+    ("licensed under the gnu lesser general public license version", "lgpl", "gnu lesser general public"),
+    ("licensed under the gnu affero general public license version", "agpl", "gnu affero general public"),
+    ("this program is free software you can redistribute it and or modify it", "gpl", ""),
+    ("released under the mpl license", "mpl", "mpl"),
+    ("subject to the terms of the mozilla public license", "mpl", "mozilla public"),
+    ("licensed under cc by 4 0", "cc-by", "cc by"),
+    ("licensed under cc by sa 4 0", "cc-by-sa", "cc by sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd", "cc by nd"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", "cc by nc"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", "cc by nc sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", "cc by nc nd"),
+    ("licensed under a creative commons attribution", "cc-by", "creative commons attribution"),
+    ("licensed under a creative commons attribution sharealike", "cc-by-sa", "attribution sharealike"),
+    ("licensed under a creative commons attribution noderivatives", "cc-by-nd", "attribution noderivatives"),
+    ("licensed under a creative commons attribution noncommercial", "cc-by-nc", "attribution noncommercial"),
+    ("licensed under a creative commons attribution noncommercial sharealike", "cc-by-nc-sa", "noncommercial sharealike"),
+    ("licensed under a creative commons attribution noncommercial noderivatives", "cc-by-nc-nd", "noncommercial noderivatives"),
 )
+# Words that, right behind the naming words, name another license.
+GOES_ON = frozenset("nc sa nd noncommercial non sharealike share noderivatives noderivs no".split())
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 12
 
@@ -58,7 +75,8 @@ class NoticeSearch:
     """Finds notices in a normalised text. Built once in a task."""
 
     def __init__(self, notices=NOTICES, phrases: Mapping[str, str] = PHRASES):
-        self.notices = [(text, label, edits_allowed(text)) for text, label in notices]
+        self.notices = [(text, label, edits_allowed(text)) for text, label, _ in notices]
+        self.naming = [tuple(names.split()) for _, _, names in notices]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (text, _, _) in enumerate(self.notices):
             for offset, piece in seeds(text):
@@ -85,7 +103,7 @@ class NoticeSearch:
                 if found and found[-1][0] <= end + 1 - length and end < found[-1][1] and not found[-1][2]:
                     continue
                 m = self.patterns[number].search(text, start, stop)
-                if m is None or m.end() == m.start():
+                if m is None or m.end() == m.start() or not self.names(number, text, m.start(), m.end()):
                     continue
                 place = (m.start(), m.end(), sum(m.fuzzy_counts))
                 if found and place[0] < found[-1][1]:
@@ -93,7 +111,30 @@ class NoticeSearch:
                         found[-1] = place
                 else:
                     found.append(place)
-        return sorted((self.notices[n][1], *p) for n, places in best.items() for p in places)
+        found = [(place[2], -len(self.notices[n][0]), n, place) for n, places in best.items() for place in places]
+        # Of notices of different licenses in one place the nearest counts, of equally near ones the longest.
+        kept: list[tuple[str, int, int, int]] = []
+        for _, _, n, (start, end, edits) in sorted(found):
+            label = self.notices[n][1]
+            if all(label == other or start >= high or end <= low for other, low, high, _ in kept):
+                kept.append((label, start, end, edits))
+        return sorted(kept)
+
+    def names(self, number: int, text: str, start: int, end: int) -> bool:
+        """Whether the place, taken to whole words and one further, has the naming words unchanged, and
+        none behind them that makes them the name of another license."""
+        wanted = self.naming[number]
+        if not wanted:
+            return True
+        low, high = text.rfind(" ", 0, start) + 1, text.find(" ", end)
+        words = text[low : high if high >= 0 else len(text)].split()
+        behind = text[high + 1 : high + 20].split() if high >= 0 else []
+        words += behind[:1]
+        n = len(wanted)
+        return any(
+            tuple(words[i : i + n]) == wanted and (i + n == len(words) or words[i + n] not in GOES_ON)
+            for i in range(len(words) - n + 1)
+        )
 
     def exact(self, words: list[bytes]) -> list[tuple[int, str]]:
         """Start word and label of every place where a phrase's words follow each other."""
@@ -135,10 +176,11 @@ def license_scan(
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. ``n_base``
     counts the places of ``phrases``; ``first_word`` and ``last_word`` are their first and last
     start (null: none). ``spans`` are the places of ``notices`` with at most one edit for each
-    twelve characters, in words. ``labels`` are those of both; ``score`` is 1 for a phrase or an
-    unchanged notice, less for edits, 0 for neither.
+    twelve characters, in words; the words that name the license must be unchanged, and of notices of
+    different licenses in one place the nearest counts, of equally near ones the longest. ``labels`` are
+    those of both; ``score`` is 1 for a phrase or an unchanged notice, less for edits, 0 for neither.
 
-    Null and empty texts: no words, no labels, score 0. Repeated rows give repeated rows; an empty
+    Null ids stay. Null and empty texts: no words, no labels, score 0. Repeated rows give repeated rows; an empty
     table gives no rows; other columns are not read; long texts are searched whole."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,11 @@
 """Decontamination, URL filter and license scan."""
 
+import numpy as np
 import pytest
 from llm_cases import LONG, by_id, empty, messy
 from pyspark.sql import functions as F
 
+import tallyworks.llm.license_scan as license_scan_module
 from tallyworks.llm.decontamination import contaminated, words_of, without_contaminated
 from tallyworks.llm.license_scan import NOTICES, edits_allowed, license_scan, seeds
 from tallyworks.llm.url_filter import judge_urls
@@ -117,5 +119,61 @@ def test_phrases_and_notices(spark):
 
 
 def test_seeds_cover_a_notice():
-    for text, _ in NOTICES:
+    for text, _, _ in NOTICES:
         assert "".join(p for _, p in seeds(text)) == text and len(seeds(text)) == edits_allowed(text) + 1
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("licensed under CC BY-SA 4.0", "cc-by-sa"), ("Licensed under CC BY-ND 4.0.", "cc-by-nd"), ("licensed under CC BY 4.0", "cc-by"),
+        ("licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa"), ("Released under the MPL license", "mpl"), ("Released under the ISC license", "isc"),
+        ("released under the BSD licence", "bsd"), ("Licensed under a Creative Commons Attribution NonCommercial", "cc-by-nc"),
+        ("licensed under a Creative Commons Attribution", "cc-by"), ("licensed under a creative commons attribution share alike", ""),
+        ("licensed under a creative commons attribution-noncommercial-sharealike", "cc-by-nc-sa"), ("released under the xyz license", ""),
+        ("Licensed under the GNU Lesser General Public License version 3", "gpl,lgpl"), ("licensed under the gnu general public licence version", "gpl"),
+        ("licensed under the gnu affero general public licence version", "agpl"), ("released under the mut license", ""),
+    ],
+)
+def test_sibling_licenses_are_kept_apart(text, labels):
+    """Names differ by less than the edits allowed elsewhere. The phrase of the lesser license holds that of the general one."""
+    assert license_scan_module.NoticeSearch().row(1, text)[6] == labels
+
+
+def distance_in(notice, text):
+    """The least edit distance of the notice to any part of the text, by dynamic programming."""
+    row = np.zeros(len(text) + 1, int)
+    for i, c in enumerate(notice, 1):
+        best = np.minimum(row[:-1] + (np.array(list(text)) != c), row[1:] + 1)
+        new = np.append(i, best)
+        for j in range(1, len(new)):
+            new[j] = min(new[j], new[j - 1] + 1)
+        row = new
+    return int(row.min())
+
+
+def test_notices_against_every_part_of_the_text():
+    """Each notice with edits outside its naming words, in other words: a label is found where the distance
+    allows it and the naming words are there, and no other label is."""
+    rng = np.random.default_rng(3)
+    search = license_scan_module.NoticeSearch(phrases={})
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    found = missed = 0
+    for _ in range(12):
+        for notice, label, names in NOTICES:
+            words = notice.split()
+            for _ in range(int(rng.integers(0, edits_allowed(notice) + 3))):
+                free = [i for i, w in enumerate(words) if len(w) > 2 and w not in names.split()]
+                if not free:
+                    break
+                i, c = rng.choice(free), rng.choice(letters)
+                k = int(rng.integers(1, len(words[i])))
+                words[i] = [words[i][:k] + words[i][k + 1 :], words[i][:k] + c + words[i][k:], words[i][:k] + c + words[i][k + 1 :]][int(rng.integers(3))]
+            around = [" ".join("".join(rng.choice(letters, 5)) for _ in range(int(rng.integers(0, 6)))) for _ in range(2)]
+            text = " ".join(f"{around[0]} {' '.join(words)} {around[1]}".split())
+            near = distance_in(notice, text) <= edits_allowed(notice)
+            got = set(search.row(1, text)[6].split(",")) - {""}
+            assert got <= {label} if near else label not in got or len(got) == 1, (text, got)
+            assert (label in got) >= near, (text, got)
+            found, missed = found + near, missed + (not near)
+    assert found > 150 and missed > 20
