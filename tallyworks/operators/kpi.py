@@ -305,7 +305,7 @@ def metric_facts(
     can be put under each other: keys, code, name, id (NULL for sums), exact and approximate value."""
     *shared, last = keys
     known = df.schema[id].dataType
-    facts = []
+    facts, taken = [], []
     for column, listed in metrics.items():
         for m in listed:
             code, name = F.lit(m.code), F.lit(m.label)
@@ -324,7 +324,10 @@ def metric_facts(
                 exact.cast("decimal(38,6)").alias("exact"), inexact.cast("double").alias("inexact"),
             )
             facts.append(F.when(takes, fact))
-    return df.select(*shared, F.explode(F.array_compact(F.array(*facts))).alias("fact")).select(*shared, "fact.*")
+            taken.append(F.coalesce(takes, F.lit(False)))
+    # Most rows add to no metric of the day: they go before any fact is built.
+    some = df.filter(reduce(Column.__or__, taken))
+    return some.select(*shared, F.explode(F.array_compact(F.array(*facts))).alias("fact")).select(*shared, "fact.*")
 
 
 def fold_facts(facts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
