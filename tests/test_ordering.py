@@ -190,3 +190,26 @@ def test_large_frames_get_more_ranges(spark, monkeypatch):
     assert len(cuts) == -(-20_000 * ordering._row_bytes(df) // 16_000) - 1
     got = number_rows(df, ["id"], "n", per_range=16)
     assert got.filter("n = id + 1").count() == 20_000
+
+
+def test_spread_grows_with_the_input_and_leaves_unknown_sizes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id % 7 as k", "id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert ordering.spread(stored, ["k"]) is stored
+    monkeypatch.setattr(ordering, "TASK_BYTES", ordering._input_bytes(stored) // 9)
+    assert ordering.spread(stored, ["k"]).rdd.getNumPartitions() == 9
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, 2)]), "k int, v int")
+    assert ordering.spread(unknown, ["k"]) is unknown
+
+
+def test_large_scans_are_spread_and_equal(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(600).selectExpr("id % 5 as k", "id", "id % 3 as q").write.parquet(path)
+    stored = spark.read.parquet(path)
+    monkeypatch.setattr(ordering, "TASK_BYTES", max(1, ordering._input_bytes(stored) // 9))
+    for cut in ({}, {"ranges": 4, "per_range": 4}):
+        scanned = ordering.ordered_scan(stored, ["id"], ["k"], number="n", running={"sum": "q"}, **cut)
+        assert "REPARTITION_BY_NUM" in scanned._jdf.queryExecution().toString()
+        got = {r.id: (r.n, r["sum"]) for r in scanned.collect()}
+        assert got == {i: (i // 5 + 1, sum(j % 3 for j in range(i % 5, i + 1, 5))) for i in range(600)}

@@ -54,6 +54,13 @@ def test_allocation_equals_the_walk(spark, supply, demand, cut):
     assert all(v > 0 for v in got.values())
 
 
+def test_ranges_of_two_sides_that_lie_by_key_meet(spark):
+    # Both sides come out of windows by key, so their union seems to be clustered already.
+    s = [(1, i, q) for i, q in enumerate([4, 2, 2, 2, 4, 6, 6, 4])]
+    d = [(1, i, q) for i, q in enumerate([1, 2, 2, 3, 1, 5, 1, 3])]
+    assert allocate(spark, s, d, **CUT) == brute_fifo(s, d)
+
+
 def test_one_large_item_is_cut_into_ranges(spark):
     s = [(1, i, 1 + i % 3) for i in range(120)] + [(2, 500, 5)]
     d = [(1, i, 2) for i in range(100)] + [(2, 900, 3)]
