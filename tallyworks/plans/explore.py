@@ -50,11 +50,9 @@ def profile_sketches(t):
     replace_partitions(yearly, path, "order_year", years)
     about = explore.sketch_profile(explore.merge_sketches(partitioned_table(t.spark, path)), (0.5,))
     exact = explore.profile(orders).select("column", "distinct")
-    edges = [F.lit(0.5 - 2 * explore.RANK_ERROR), F.lit(0.5 + 2 * explore.RANK_ERROR)]
+    edges = [0.5 - 2 * explore.RANK_ERROR, 0.5 + 2 * explore.RANK_ERROR]
     numbers = ["o_orderkey", "o_custkey", "o_totalprice"]
-    bounds = orders.agg(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.percentile(F.col(c).cast("double"), F.array(*edges)).alias("bounds")) for c in numbers]).alias("all")
-    ).select(F.inline("all"))
+    bounds = explore.exact_quantiles(orders, numbers, edges, save=save_intermediate).withColumnRenamed("quantiles", "bounds")
     median = F.col("quantiles_about")[0]
     fits = F.abs(F.col("distinct_about") - F.col("distinct")) <= F.col("distinct") * (2 * explore.DISTINCT_ERROR)
     inside = F.coalesce(median.between(F.col("bounds")[0], F.col("bounds")[1]), F.col("bounds").isNull() & median.isNull())

@@ -137,3 +137,15 @@ def test_stored_sketches_merge_to_the_profile_of_the_whole(spark, tmp_path):
     assert got["none"].distinct_about == 0 and got["none"].quantiles_about is None and got["t"].quantiles_about is None
     for q, value in zip((0.25, 0.5, 0.75), got["x"].quantiles_about):
         assert abs(value / 20_000 - q) <= 2 * profile.RANK_ERROR
+
+
+@pytest.mark.parametrize("options", [{}, {"ranges": 4, "per_range": 4}])
+def test_exact_quantiles_equal_percentile_without_a_global_list(spark, options):
+    data = [(float(i * 37 % 101), i % 3 if i % 4 else None, None) for i in range(150)]
+    df = table(spark, "a double, b int, c int", *data)
+    quantiles = [0.0, 0.466, 0.5, 0.534, 1.0]
+    got = {r.column: r.quantiles for r in profile.exact_quantiles(df, ["a", "b", "c"], quantiles, save=save_intermediate, **options).collect()}
+    want = df.select(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in quantiles])) for c in df.columns]).first()
+    assert got["c"] is None and want[2] is None
+    for name, values in (("a", want[0]), ("b", want[1])):
+        assert got[name] == pytest.approx(values)
