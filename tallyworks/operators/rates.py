@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import decimal_ratio, half_of_year, half_up, rounded_ratio
+from tallyworks.operators.ordering import spread
 
 
 def covers_all(facts: DataFrame, entity: str, member: str, required: DataFrame) -> DataFrame:
@@ -313,8 +314,10 @@ def extreme_pair_ratio(
         .filter(F.col("__dear.quantity") < F.col("__cheap.quantity"))
     )
     wide = (
-        df.groupBy(group)
-        .agg(F.countDistinct(item).alias("__items"))
+        spread(df.select(group, item), [group, item])
+        .distinct()
+        .groupBy(group)
+        .agg(F.count(item).alias("__items"))
         .filter(F.col("__items") >= min_items)
     )
     return ends.join(wide, group, "left_semi").select(

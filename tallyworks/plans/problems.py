@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyworks.operators import graph, ranking, rates, sequences
-from tallyworks.operators.ordering import dense_rank_all
+from tallyworks.operators.ordering import dense_rank_all, spread
 from tallyworks.plans.registry import query, ratio_sql
 
 
@@ -341,8 +341,10 @@ def cyclic_sequence(t):
 )
 def extreme_pair_ratio(t):
     priced = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    # Dealt by part once, for the sums and the join.
     stock = (
-        t.lineitem.groupBy("l_suppkey", "l_partkey")
+        spread(t.lineitem.select("l_suppkey", "l_partkey", "l_quantity"), ["l_partkey"])
+        .groupBy("l_suppkey", "l_partkey")
         .agg(F.sum("l_quantity").alias("quantity"))
         .join(priced, "l_partkey")
     )

@@ -6,7 +6,7 @@ from decimal import Decimal as Dec
 from conftest import rows, table
 from pyspark.sql import functions as F
 
-from tallyworks.operators import graph, ranking, rates, sequences
+from tallyworks.operators import graph, ordering, ranking, rates, sequences
 from tallyworks.operators.ordering import dense_rank_all
 
 
@@ -495,3 +495,16 @@ def test_dominant_share(spark):
     got = rates.dominant_share(df, "u", "item", "kind").orderBy(F.desc("share"), "u")
     # user 4 has exactly 60 percent: the text says "at least"
     assert [(u, k, str(s)) for u, k, s in rows(got)] == [(3, "love", "1.00"), (1, "like", "0.80"), (4, "like", "0.60")]
+
+
+def test_pair_ratio_is_spread_and_counts_known_items(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "stock")
+    data = [(1, 1, 9, 2), (1, 2, 5, 3), (1, 3, 1, 8), (2, 1, 9, 2), (2, 2, 1, 8), (2, None, 5, 5), (2, 2, 1, 8), (None, 1, 9, 2)]
+    table(spark, "g int, i int, price int, q int", *data).write.parquet(path)
+    stored = spark.read.parquet(path)
+    whole = rows(rates.extreme_pair_ratio(stored, "g", "i", "price", "q"))
+    assert [r[:3] for r in whole] == [(1, 1, 3)]
+    monkeypatch.setattr(ordering, "TASK_BYTES", ordering._input_bytes(stored) // 9)
+    dealt = rates.extreme_pair_ratio(stored, "g", "i", "price", "q")
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString()
+    assert rows(dealt) == whole
