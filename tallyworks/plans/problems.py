@@ -429,7 +429,8 @@ def consecutive_runs(t):
 )
 def top_degree(t):
     owners = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    edges = t.lineitem.join(owners, "l_orderkey").select(
+    lines = spread(t.lineitem.select("l_orderkey", "l_partkey"), ["l_orderkey"])
+    edges = lines.join(owners, "l_orderkey").select(
         F.concat_ws(" ", F.lit("customer"), "o_custkey").alias("buyer"),
         F.concat_ws(" ", F.lit("part"), "l_partkey").alias("item"),
     )

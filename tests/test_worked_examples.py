@@ -100,6 +100,13 @@ def test_top_degree(spark):
     assert rows(graph.top_degree(tied, "a", "b", ties=False)) == [(2, 3)]
 
 
+def test_degrees_make_the_edges_once(spark):
+    edges = table(spark, "a int, b int", (1, 2), (1, 1), (None, 2)).filter("b > 0")
+    counted = graph.degrees(edges, "a", "b")
+    assert sorted(rows(counted), key=str) == [(1, 3), (2, 2), (None, 1)]
+    assert "Union" not in counted._jdf.queryExecution().toString()
+
+
 def test_tree_node_type(spark):
     tree = table(spark, "id int, p_id int", (1, None), (2, 1), (3, 1), (4, 2), (5, 2))
     got = dict(rows(graph.tree_node_type(tree, "id", "p_id").select("id", "type")))
