@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import assemble_timestamp
 from tallyworks.operators.change_log import with_fingerprint
+from tallyworks.operators.ordering import spread
 from tallyworks.operators.temporal import asof_dim_join, is_open, map_codes, patch_from, valid_on
 
 # Department codes per region.
@@ -216,7 +217,7 @@ def claim_fold(entries: DataFrame) -> DataFrame:
     values are formed in the map tasks first; lists are kept where the record shows all of them."""
     by_log = {name: F.max(F.when(hit, F.col("log.created_date"))).alias(name) for name, hit in milestone_spec("log").items()}
     guaranteed = F.col("log.action").isin(*GUARANTEE_ACTIONS)
-    folded = entries.groupBy(*CLAIM).agg(
+    folded = spread(entries, CLAIM).groupBy(*CLAIM).agg(
         F.max("claim").alias("claim"),
         F.collect_list("object").alias("objects"),
         F.max("asked").alias("asked"),
