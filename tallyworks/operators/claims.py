@@ -213,8 +213,10 @@ def _amounts(parts: str | Column) -> Column:
 
 
 def claim_fold(entries: DataFrame) -> DataFrame:
-    """One row per claim from its rows of all kinds, in one aggregation. Sums, newest times and newest
-    values are formed in the map tasks first; lists are kept where the record shows all of them."""
+    """One row per claim from its rows of all kinds, in one aggregation; lists are kept where the record
+    shows all of them. Sums, newest times and newest values are formed in the map tasks first; large
+    inputs are dealt by claim before that (``spread``), so a task's share does not grow, but all rows of a
+    claim then go to one task."""
     by_log = {name: F.max(F.when(hit, F.col("log.created_date"))).alias(name) for name, hit in milestone_spec("log").items()}
     guaranteed = F.col("log.action").isin(*GUARANTEE_ACTIONS)
     folded = spread(entries, CLAIM).groupBy(*CLAIM).agg(
