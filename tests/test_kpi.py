@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyworks.operators import kpi
+from tallyworks.operators import kpi, ordering
 
 LONG_AGO = D(3000, 1, 1)
 
@@ -101,6 +101,34 @@ def test_period_edges_take_the_newest(spark):
     assert sorted((r.claim_id, int(r.opening_value), int(r.closing_value)) for r in got.collect()) == [(1, 20, 40), (2, 7, 201)]
 
 
+def test_period_edges_are_dealt_over_tasks_that_grow(spark, tmp_path, monkeypatch):
+    """Entries of one moment, both sides, repeated and NULL claims, claims without a clause: the same values
+    however many tasks the entries are dealt over."""
+    data = [(c, k, T(2025, m, d, 1, 1, s), a) for c in (1, 1, 2, 3, None) for k, m, d, s, a in (
+        ("q", 1, 5, 0, 7), ("q", 1, 5, 0, 9), ("q", 2, 25, 0, 4), ("r", 1, 9, 1, 50), ("r", 2, 26, 1, 60), ("r", 3, 20, 1, 70), ("r", 3, 1, 0, 80),
+    ) if (c, k) != (3, "q")]
+    table(spark, "claim_id int, kind string, at timestamp_ntz, amount int", *data).write.parquet(str(tmp_path / "entries"))
+    stored = spark.read.parquet(str(tmp_path / "entries"))
+    claims = table(spark, "claim_id int, system_date date, claim_approved_date date", *[(c, D(2025, 1, 1), LONG_AGO) for c in (1, 1, 2, 3, 4, None)])
+    asked, quoted = (
+        stored.filter(F.col("kind") == kind).select("claim_id", F.col("at").alias(at), F.col("amount").alias(amount))
+        for kind, at, amount in (("r", "requested_at", "request_amount"), ("q", "quoted_at", "approval_amount"))
+    )
+    clauses = table(spark, "claim_id int, compensation_amount int", (1, 5), (3, None), (None, 2))
+
+    def found():
+        return kpi.period_edge_estimates(claims, asked, quoted, clauses, "2025-03-20")
+
+    whole = sorted(rows(found().select("claim_id", "opening_value", "closing_value")))
+    assert whole == [(1, Dec(9), Dec(4)), (1, Dec(9), Dec(4)), (3, Dec(50), Dec(60))]
+    monkeypatch.setattr(ordering, "TASK_BYTES", 1)
+    monkeypatch.setattr(ordering, "MAX_RANGES", 9)
+    monkeypatch.setattr(ordering, "UNKNOWN_BYTES", 1 << 80)
+    dealt = found()
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString()
+    assert sorted(rows(dealt.select("claim_id", "opening_value", "closing_value"))) == whole
+
+
 def facts(spark):
     return table(
         spark, "region string, department_code string, employee_code string, id int, v int, level int",
