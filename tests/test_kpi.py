@@ -183,6 +183,25 @@ def test_a_day_of_kpis_is_folded_in_one_aggregation(spark, data_dir):
     assert "Union" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_a_day_of_kpis_sorts_and_groups_only_what_the_day_asks(spark, data_dir, monkeypatch):
+    """Clauses of the milestones, deductions and calls are those of the day's claims, and the log is dealt."""
+    from tallyworks.plans.kpi import kpi_sources
+    from tallyworks.sources import Tables, save_intermediate
+
+    sources, seen = kpi_sources(Tables(spark, data_dir)), {}
+    monkeypatch.setattr(ordering, "TASK_BYTES", 1 << 12)
+    whole = kpi.claim_milestones
+    monkeypatch.setattr(kpi, "claim_milestones", lambda *given: seen.update(log=given[0], clauses=given[2]) or whole(*given))
+    got = kpi.kpi_dataset(sources, "1998-06-20", save_intermediate)
+    on_day = {r[0] for r in sources["log"].filter("to_date(created_date) = '1998-06-20'").select("claim_id").distinct().collect()}
+    asked = seen["clauses"].collect()
+    assert on_day and {r.claim_id for r in asked} == on_day
+    assert len(asked) == sources["clauses"].filter(F.col("claim_id").isin(*on_day)).count() < sources["clauses"].count()
+    assert "REPARTITION_BY_NUM" in seen["log"]._jdf.queryExecution().toString()
+    monkeypatch.undo()
+    assert sorted(rows(got)) == sorted(rows(kpi.kpi_dataset(sources, "1998-06-20", save_intermediate)))
+
+
 def test_group_total_reaches_every_member(spark):
     got = kpi.broadcast_group_total(facts(spark), ["department_code"], F.col("v"), "t", "total")
     assert {r.employee_code: r.value for r in got.collect()} == {"E1": 22, "E2": 22, "E3": -4, "E4": 1}
