@@ -276,3 +276,20 @@ def test_band_join_by_bins_equals_the_broadcast_join(spark, how):
     by_code = [x for x in plan.splitlines() if "Exchange hashpartitioning(code#" in x and x.split("hashpartitioning(")[1].count("#") == 1]
     assert not by_code
     assert kpi.band_join(fact, found.limit(0), ["code"], "v", "lo", "hi", "left", max_bytes=-1).count() == 600
+
+
+def test_band_lookups_are_few_and_dealt_over_tasks_that_grow(spark, tmp_path, monkeypatch):
+    """Bands up to 2^9 wide are three levels, and points one more, not ten; facts and lookups are dealt."""
+    widths = [x for n in range(1, 9) for x in (2**n - 1, 2**n, 2**n + 1)] + [0, 512]
+    found = table(spark, "code string, lo double, hi double, level int", *[("a", 100.0 - w, 100.0, i) for i, w in enumerate(widths)], ("b", -8.0, 8.0, 90))
+    table(spark, "code string, v double", *[(c, float(v)) for c in "ab" for v in range(-450, 120, 3)], ("a", None), (None, 1.0)).write.parquet(str(tmp_path / "facts"))
+    fact = spark.read.parquet(str(tmp_path / "facts"))
+    small = sorted(rows(kpi.band_join(fact, found, ["code"], "v", "lo", "hi")), key=str)
+    monkeypatch.setattr(ordering, "TASK_BYTES", ordering._input_bytes(fact) // 9)
+    binned = kpi.band_join(fact, found, ["code"], "v", "lo", "hi", max_bytes=0)
+    assert sorted(rows(binned), key=str) == small
+    assert binned._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+    pairs = fact.select("code", "v").distinct()
+    lookups = kpi.band_matches(pairs, found, ["code"], "v", "lo", "hi")._jdf.queryExecution().optimizedPlan().toString()
+    listed = [x for x in lookups.splitlines() if "explode(array(" in x and "__level" in x]
+    assert listed and all(x.count("__level") <= 5 for x in listed), listed
