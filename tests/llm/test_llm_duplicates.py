@@ -158,3 +158,14 @@ def test_many_copies_of_a_line(spark):
     texts = [(i, f"a b c d e\nx{i} y{i}") for i in range(300)]
     got = by_id(dedup_lines(messy(spark, texts)))
     assert got[0].n_removed == 0 and all(got[i].text == f"x{i} y{i}" for i in range(1, 300)) and got[7].n_links == 299
+
+
+def test_a_text_is_split_once_however_many_lines_it_has(spark):
+    """Not again for each line that is kept; lines of repeated rows are made distinct once."""
+    df = spark.createDataFrame([(1, "a b c\nd e f\n\ng h i"), (1, "a b c\nd e f\n\ng h i"), (2, "d e f\nx y z\nx y z\nlast")], "doc_id long, text string")
+    got = dedup_lines(df)
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_links) for r in got.collect()) == [
+        (1, "a b c\nd e f\n\ng h i", 3, 0, 1), (1, "a b c\nd e f\n\ng h i", 3, 0, 1), (2, "x y z\nlast", 4, 2, 3),
+    ]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1 and "lambdafunction(get(split" not in plan, plan
