@@ -1,12 +1,14 @@
 """SimHash, embeddings, line dedup and components, against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from llm_cases import by_id, empty, messy
 
 from tallyworks.llm.components import connected_components, forest
 from tallyworks.llm.embedding_dedup import embedding_near_duplicates
-from tallyworks.llm.line_dedup import dedup_lines
+from tallyworks.llm.line_dedup import SKETCH_BITS, _tiles, _verify, dedup_lines, member_tokens, occurrences, prefix_entries, sketch
+from tallyworks.llm.line_sets import Powers, line_sets
 from tallyworks.llm.simhash import fingerprints, links_of, near_duplicates, one_of_each
 
 
@@ -169,3 +171,56 @@ def test_a_text_is_split_once_however_many_lines_it_has(spark):
     ]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(text") == 1 and "lambdafunction(get(split" not in plan, plan
+
+
+def test_a_token_of_one_line_alone_is_not_sent_to_be_compared(spark):
+    """Nothing of a line goes through the shuffle for tokens that no second line has."""
+    near = [f"{' '.join(f'common{k}' for k in range(20))} own{i}" for i in range(2)]
+    docs = spark.createDataFrame([(i, i, text) for i, text in enumerate([" ".join(f"only{k}" for k in range(50)), *near])], "doc_id long, text_key long, text string")
+    found = occurrences(docs)
+    assert sorted((r.doc_id, r.lines) for r in found.filter("chunk is null").collect()) == [(0, [0]), (1, [0]), (2, [0])]
+    counts = sketch(found)
+    assert counts.sum() == 50 + 21 * 2 and len(counts) == 1 << SKETCH_BITS
+    rows = prefix_entries(docs, spark.sparkContext.broadcast(counts), 4, 0.8).collect()
+    sizes = [n for r in rows for n in np.frombuffer(r.n, np.int32).tolist()]
+    assert sizes and set(sizes) == {21}  # the two near lines by tokens that both have, the other by none
+    got = by_id(dedup_lines(docs.select("doc_id", "text")))
+    assert [(got[i].n_removed, got[i].n_links) for i in range(3)] == [(0, 0), (0, 1), (1, 1)]
+
+
+def test_only_the_first_place_of_a_line_with_candidates_is_cut_again(spark):
+    docs = spark.createDataFrame([(i, 7, f"a b c\nx{i} y z") for i in range(40)], "doc_id long, text_key long, text string")
+    lines = next(line_sets(pa.array(["a b c"]), Powers()))
+    members = spark.createDataFrame([(int(lines.classes()[0]), 0, (3, 7, 0), 40)], "class long, component long, rank struct<doc_id:long,text_key:long,line:int>, copies long")
+    rows = member_tokens(docs.repartition(8), members).collect()
+    assert [(r["class"], bytes(r.tokens)) for r in rows] == [(int(lines.classes()[0]), lines.tokens.tobytes())]
+
+
+def test_tiles_against_brute_force():
+    """Tiles that are cut by the ends of batches, with classes that come twice, one block empty."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for component in range(30):
+        known = [np.unique(rng.integers(0, 7, rng.integers(1, 25)).astype(np.uint64)) for _ in range(rng.integers(1, 20))]
+        one = component % 3 == 0  # all in block 0, none in block 1
+        for k, tokens in enumerate(known):
+            own, doc = 0 if one else k % 2, int(rng.integers(5))
+            for other in (0, 1):
+                row = (component, min(own, other), max(own, other), 100 * component + k, own, doc, -k, k, k + 1, tokens.tobytes())
+                rows += [row] * int(rng.integers(1, 3))
+    rows.sort(key=lambda r: r[:4])
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    got = {}
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 7]), kinds)], names=list("abcdefghij")) for k in range(0, len(rows), 7)]
+    for columns in _tiles(batches):
+        for c, n, earlier in zip(*(x.tolist() for x in _verify(*columns, 0.6))):
+            a, b = got.get(c, (0, False))
+            got[c] = a + n, b or earlier
+    want = {}
+    lines = {r[3]: (r[0], r[5:8], r[8], frozenset(np.frombuffer(r[9], np.uint64).tolist())) for r in rows}
+    for a, (ca, place, _, sa) in lines.items():
+        for b, (cb, first, copies, sb) in lines.items():
+            if a != b and ca == cb and len(sa & sb) >= 0.6 * len(sa | sb) - 1e-9:
+                n, earlier = want.get(a, (0, False))
+                want[a] = n + copies, earlier or first < place
+    assert got == want and len(want) > 20
