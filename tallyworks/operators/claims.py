@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -265,7 +265,9 @@ def claim_fold(entries: DataFrame) -> DataFrame:
     ).select("*", F.col("object.certificate_id").alias("certificate_id"), F.col("object.codes").alias("business_type_code")).drop("object")
 
 
-def claim_snapshot(sources: Mapping[str, DataFrame], as_of, claim_ids: tuple | None = None) -> DataFrame:
+def claim_snapshot(
+    sources: Mapping[str, DataFrame], as_of, claim_ids: tuple | None = None, save: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """One wide row per claim and insured object on a date: the columns of ``RECORD``, their
     fingerprint ``row_hash`` and the day ``fk_date``. Columns that no source has are NULL.
 
@@ -277,8 +279,11 @@ def claim_snapshot(sources: Mapping[str, DataFrame], as_of, claim_ids: tuple | N
     claim the newest counts; what is taken back is summed. A claim without clauses has no row.
 
     The clauses, garage advances and customer advances of a claim are lists in its row, as the record
-    shows them all; other tables may have any number of rows for a claim."""
+    shows them all; other tables may have any number of rows for a claim. ``save`` writes the fold once, so
+    that the files of its shuffles are gone before those of the joins are written."""
     wide = claim_fold(claim_entries(sources, as_of, claim_ids))
+    if save is not None:
+        wide = save(wide, "claim-fold")
     managed = {name: sources[name].withColumnRenamed("unit_code", "manage_unit_code") for name in ("policies", "certificates", "units", "agencies", "calls")}
     wide = asof_dim_join(wide, managed["policies"], ["manage_unit_code", "policy_id"], as_of)
     wide = asof_dim_join(wide, managed["certificates"], ["manage_unit_code", "policy_id", "certificate_id"], as_of)

@@ -530,7 +530,7 @@ RECORD_TYPES = ", ".join(f"{c} {'BIGINT' if c in NUMBERS else 'VARCHAR'}" for c
     f"WITH {LINES_SQL}, r AS ({claim_sql(AS_OF)}) SELECT *, md5({RECORD_TEXT}) AS row_hash FROM r",
 )
 def claim_snapshot(t):
-    return claims.claim_snapshot(claim_sources(t), AS_OF)
+    return claims.claim_snapshot(claim_sources(t), AS_OF, save=save_intermediate)
 
 
 HISTORY_DAYS = ("1998-03-31", "1998-05-31")
@@ -548,6 +548,6 @@ def claim_history(t):
     sources, scratch = claim_sources(t), scratch_dir(t.spark)
     log, latest = (os.path.join(scratch, f"{name}-{uuid.uuid4().hex}") for name in ("claim-log", "claim-states"))
     for day in HISTORY_DAYS:
-        snapshot = claims.claim_snapshot(sources, day).drop("fk_date")
+        snapshot = claims.claim_snapshot(sources, day, save=save_intermediate).drop("fk_date")
         change_log.append_day_to_latest(t.spark, log, latest, snapshot, ["claim_id", "certificate_id"], day)
     return t.spark.read.parquet(log)
